@@ -77,10 +77,10 @@ def distribution(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
 
 
 def one_row_join(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row: an equi-join on
-    a constant key with the one-row side broadcast (no cartesian product)."""
-    k = "__one"
-    return df.withColumn(k, F.lit(1)).join(F.broadcast(one_row.withColumn(k, F.lit(1))), k).drop(k)
+    """Attach the columns of a one-row aggregate to every row as scalar
+    subqueries (computed once, merged by the optimiser; no join at all)."""
+    return df.select("*", *[one_row.select(F.col(f"`{c}`")).scalar().alias(c)
+                            for c in one_row.columns])
 
 
 def _term(c, r):

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tabrix.functions import dates as D
 from tabrix.functions import text as X
 from tabrix.operators import clean as C
+from tabrix.operators.parallel import spread
+from tabrix.session import materialize
 from tabrix.plans.common import DIRTY_ORDERS_SQL, dirty_orders, r6, table
 from tabrix.plans.registry import query
 from tabrix.plans.sqlbits import TOKENS, normalize, safe_double, strip
@@ -19,7 +21,8 @@ def cleaned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = C.trim_strings(dirty_orders(spark, sf_dir))
     d = C.map_categories(d, STATUS_MAP)
     d = C.null_tokens(d)
-    d = C.drop_empty_rows(C.drop_duplicates(d))
+    # several fit jobs read the deduplicated frame: materialise it once
+    d = materialize(C.drop_empty_rows(C.drop_duplicates(d)))
     d = C.coerce_numeric(d, target="o_orderstatus")
     return C.impute(d)
 
@@ -73,7 +76,7 @@ def label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, {normalize('text')} AS text_norm FROM documents
 """)
 def text_normalize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select("doc_id", X.normalize_expr(F.col("text")).alias("text_norm"))
 
 

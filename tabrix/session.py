@@ -54,3 +54,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def materialize(df):
+    """Cut lineage: reliable ``checkpoint`` into the shared checkpoint folder
+    (``spark.checkpoint.dir``), for frames that several fit jobs read."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
