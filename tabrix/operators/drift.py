@@ -197,11 +197,16 @@ def model_drift(current: DataFrame, baseline: DataFrame, metric_name: str = "auc
 
 
 def retrain_signal(data: DataFrame, concept: DataFrame, model: DataFrame) -> DataFrame:
-    """One row: the three statuses and their OR (each input is a one-row frame)."""
-    d = data.select(F.col("status").alias("data_drift"))
-    c = concept.select(F.col("status").alias("concept_drift"))
-    m = model.select(F.col("status").alias("model_drift"))
-    j = one_row_join(one_row_join(d, c), m)
-    return j.select("data_drift", "concept_drift", "model_drift",
-                    (F.col("data_drift") | F.col("concept_drift") | F.col("model_drift"))
-                    .alias("should_retrain"))
+    """One row: the three statuses and their OR (each input is a one-row frame).
+
+    The three rows are unioned and folded by one global aggregate: no join and
+    no nested scalar subquery."""
+    parts = [data.select(F.lit("data").alias("__k"), F.col("status").alias("__s")),
+             concept.select(F.lit("concept").alias("__k"), F.col("status").alias("__s")),
+             model.select(F.lit("model").alias("__k"), F.col("status").alias("__s"))]
+    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    pick = lambda k: F.coalesce(F.bool_or(F.when(F.col("__k") == k, F.col("__s"))),
+                                F.lit(False))
+    return u.agg(pick("data").alias("data_drift"), pick("concept").alias("concept_drift"),
+                 pick("model").alias("model_drift"),
+                 F.coalesce(F.bool_or("__s"), F.lit(False)).alias("should_retrain"))
