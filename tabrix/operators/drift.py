@@ -185,8 +185,7 @@ def model_drift(current: DataFrame, baseline: DataFrame, metric_name: str = "auc
     cur = cur.select(F.assert_true(F.col("current_metric").isNotNull(),
                                    f"Model drift metric '{metric_name}' missing").alias("__ok"),
                      "current_metric").drop("__ok")
-    j = cur.withColumn("__one", F.lit(1)).join(
-        F.broadcast(base.limit(1).withColumn("__one", F.lit(1))), "__one", "left").drop("__one")
+    j = cur.withColumn("baseline_metric", base.limit(1).scalar())
     b = F.col("baseline_metric")
     denom = F.when(F.abs(b) > MEAN_EPS, F.abs(b)).otherwise(F.lit(1.0))
     drop = F.when(b.isNull(), F.lit(0.0)).otherwise(

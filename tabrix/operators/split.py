@@ -72,14 +72,16 @@ def stratified_split(df: DataFrame, key: str, class_col: str | None, test_size:
     if len(counted) > MAX_STRATA:
         raise ValueError(f"more than {MAX_STRATA} strata in {class_col}")
     alloc = allocate({r["__cls"]: r["n"] for r in counted}, test_size)
-    ctype = df.schema[class_col].dataType if class_col else T.IntegerType()
+    ranked = row_positions(hashed, ["__hp", "__h", key], strata, out="__pos")
+    if not class_col:
+        return ranked.select(*[quoted(c) for c in df.columns],
+                             (F.col("__pos") <= F.lit(int(alloc[0]))).alias(out))
     alloc_df = spark.createDataFrame(
         [(c, int(k)) for c, k in alloc.items()],
-        T.StructType([T.StructField("__cls", ctype), T.StructField("__k", T.LongType())]))
-    ranked = row_positions(hashed, ["__hp", "__h", key], strata, out="__pos")
+        T.StructType([T.StructField("__cls", df.schema[class_col].dataType),
+                      T.StructField("__k", T.LongType())]))
     # bounded by MAX_STRATA rows: broadcast
-    joined = ranked.join(F.broadcast(alloc_df),
-                         (cls if class_col else F.lit(0)).eqNullSafe(F.col("__cls")), "left")
+    joined = ranked.join(F.broadcast(alloc_df), quoted(class_col).eqNullSafe(F.col("__cls")), "left")
     return joined.select(*[quoted(c) for c in df.columns],
                          (F.col("__pos") <= F.col("__k")).alias(out))
 
