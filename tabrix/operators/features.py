@@ -170,20 +170,27 @@ def tfidf_long(df: DataFrame, key: str, text_col: str, vocab: DataFrame,
 
 
 def tfidf_stages(text_col: str, out: str = "tfidf", max_features: int = 4000, min_df: float = 2.0,
-                 max_df: float = 0.95):
+                 max_df: float = 0.95, terms_col: str | None = None):
     """MLlib stages for model pipelines (Spark's IDF omits the ``+1``; use the
-    relational form above when exact reference weights matter)."""
+    relational form above when exact reference weights matter).
+
+    With ``terms_col`` (uni+bigrams already added by ``with_terms``, a stateless
+    step done once before cross-validation) only the fitted stages remain:
+    vocabulary and IDF, refitted inside every fold."""
     from pyspark.ml.feature import IDF, CountVectorizer, NGram, RegexTokenizer, SQLTransformer
 
-    tok = RegexTokenizer(inputCol=text_col, outputCol=f"{out}__tok", gaps=False,
-                         pattern=r"(?U)[\p{L}\p{N}_]{2,}", toLowercase=True)
-    bi = NGram(n=2, inputCol=f"{out}__tok", outputCol=f"{out}__bi")
-    merge = SQLTransformer(statement=f"SELECT *, concat(`{out}__tok`, `{out}__bi`) AS `{out}__terms` "
-                                     "FROM __THIS__")
-    cv = CountVectorizer(inputCol=f"{out}__terms", outputCol=f"{out}__tf", vocabSize=max_features,
+    stages = []
+    if terms_col is None:
+        tok = RegexTokenizer(inputCol=text_col, outputCol=f"{out}__tok", gaps=False,
+                             pattern=r"(?U)[\p{L}\p{N}_]{2,}", toLowercase=True)
+        bi = NGram(n=2, inputCol=f"{out}__tok", outputCol=f"{out}__bi")
+        merge = SQLTransformer(statement=f"SELECT *, concat(`{out}__tok`, `{out}__bi`) AS "
+                                         f"`{out}__terms` FROM __THIS__")
+        stages, terms_col = [tok, bi, merge], f"{out}__terms"
+    cv = CountVectorizer(inputCol=terms_col, outputCol=f"{out}__tf", vocabSize=max_features,
                          minDF=min_df, maxDF=max_df)
     idf = IDF(inputCol=f"{out}__tf", outputCol=out)
-    return [tok, bi, merge, cv, idf]
+    return [*stages, cv, idf]
 
 
 # -- scalers ----------------------------------------------------------------
