@@ -255,3 +255,32 @@ def select_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = e.groupBy(F.col("event_type").alias("algorithm"), F.col("user_id").alias("candidate")) \
         .agg(r6(F.avg("value")).alias("cv_score"))
     return P.select_best(scores, "algorithm", "candidate", "cv_score")
+
+
+@query("promotion_current", sql="""
+WITH r AS (SELECT user_id AS model_name, event_type AS env, event_id AS version, value AS score,
+                  CAST(json_extract(props, '$.k') AS INTEGER) > 90 AS should_retrain, ts FROM events),
+b AS (SELECT *, max(CASE WHEN NOT should_retrain THEN score END) OVER (
+                  PARTITION BY model_name, env ORDER BY ts, version
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before FROM r),
+p AS (SELECT *, NOT should_retrain AND (best_before IS NULL OR score > best_before) AS promoted FROM b),
+c AS (SELECT *, last_value(CASE WHEN promoted THEN version END IGNORE NULLS) OVER (
+                  PARTITION BY model_name, env ORDER BY ts, version
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS champion_before FROM p),
+l AS (SELECT *, CASE WHEN promoted THEN version ELSE champion_before END AS champion_after,
+             CASE WHEN promoted THEN champion_before ELSE version END AS challenger_after,
+             row_number() OVER (PARTITION BY model_name, env ORDER BY ts DESC, version DESC) AS rn_last,
+             row_number() OVER (PARTITION BY model_name, env ORDER BY CASE WHEN promoted THEN 0 ELSE 1 END,
+                                ts DESC, version DESC) AS rn_champ
+      FROM c)
+SELECT l1.model_name, l1.env, l1.champion_after AS champion, l1.challenger_after AS challenger,
+       CASE WHEN l2.promoted THEN round(l2.score, 6) END AS champion_score
+FROM l l1 JOIN l l2 ON l1.model_name = l2.model_name AND l1.env = l2.env
+WHERE l1.rn_last = 1 AND l2.rn_champ = 1
+""")
+def promotion_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current champion, challenger and champion score (the drift baseline) per
+    (model, env) after replaying the whole runs table."""
+    cur = P.current_aliases(P.ledger(runs(spark, sf_dir)))
+    return cur.select("model_name", "env", "champion", "challenger",
+                      r6("champion_score").alias("champion_score"))
