@@ -20,11 +20,13 @@ MICROS_PER_DAY = 86_400_000_000
 
 def parse_date(c: Column, dtype: T.DataType | None = None,
                formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Column:
-    """Text or date/time column -> TIMESTAMP; unparsable -> NULL (never raises)."""
+    """Text or date/time column -> naive wall-clock TIMESTAMP_NTZ; unparsable ->
+    NULL (never raises). Naive values keep parts and day differences
+    independent of the session time zone (no daylight-saving hour)."""
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return c.cast("timestamp")
+        return c.cast("timestamp_ntz")
     s = F.regexp_replace(c.cast("string"), r"^\s+|\s+$", "")
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats]).cast("timestamp_ntz")
 
 
 def date_parts(ts: Column, prefix: str) -> list[Column]:
@@ -42,7 +44,8 @@ def diff_days(earlier: Column, later: Column) -> Column:
     Same as pandas ``(b - a).dt.days``; unlike ``datediff`` it respects the time
     of day.
     """
-    micros = F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))
+    micros = F.timestamp_diff("MICROSECOND", earlier.cast("timestamp_ntz"),
+                              later.cast("timestamp_ntz"))
     return F.floor(micros / F.lit(MICROS_PER_DAY)).cast("int")
 
 

@@ -158,5 +158,5 @@ def date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
               F.concat(F.lit(" "), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")))
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("order_date_text"))
     ts = D.parse_date(F.col("order_date_text"))
-    return txt.select("o_orderkey", ts.cast("timestamp_ntz").alias("order_date"),
+    return txt.select("o_orderkey", ts.alias("order_date"),
                       *D.date_parts(ts, "order_date"))

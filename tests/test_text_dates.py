@@ -48,3 +48,14 @@ def test_dates_parse_parts_diff(spark):
     neg = spark.createDataFrame([(dt.datetime(2020, 1, 2, 12), dt.datetime(2020, 1, 1, 13))],
                                 "a timestamp, b timestamp")
     assert neg.select(D.diff_days(F.col("a"), F.col("b"))).first()[0] == -1
+
+
+def test_diff_days_ignores_session_time_zone(spark):
+    df = spark.createDataFrame([(dt.datetime(2020, 3, 7, 12), dt.datetime(2020, 3, 8, 12))],
+                               "a timestamp_ntz, b timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert df.select(D.diff_days(F.col("a"), F.col("b"))).first()[0] == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
