@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tabrix.functions.nulls import quoted
 from tabrix.operators.prefix import running
+from tabrix.session import materialize
 
 # Fixed value: float64 machine epsilon used to clip probabilities in log loss.
 EPS = 2.220446049250313e-16
@@ -51,9 +52,11 @@ def confusion(df: DataFrame, label: str = "label", pred: str = "prediction") ->
 
 
 def _score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Positives / negatives per distinct score, written once (the running sum
+    reads it three times)."""
     y = quoted(label).cast("long")
-    return df.where(quoted(score).isNotNull()).groupBy(quoted(score).cast("double").alias("s")).agg(
-        F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+    return materialize(df.where(quoted(score).isNotNull()).groupBy(
+        quoted(score).cast("double").alias("s")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")))
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:

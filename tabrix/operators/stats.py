@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tabrix.functions.nulls import quoted
 from tabrix.operators.prefix import running
+from tabrix.session import materialize
 
 
 def _long_form(df: DataFrame, cols: Sequence[str], cast: str) -> DataFrame:
@@ -38,6 +39,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
         return df.sparkSession.createDataFrame([], "column string, prob double, value double")
     counts = _long_form(df, cols, "double").groupBy("column", "value").agg(
         F.count(F.lit(1)).alias("n"))
+    # read four times below (bounds sketch, local window, carry totals, totals):
+    # write the value-count table once instead of re-scanning the input
+    counts = materialize(counts)
     run = running(counts, ["value"], [("cum", "sum", "n")], partition_by=["column"])
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
     pos = totals.select(
