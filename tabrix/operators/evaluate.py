@@ -11,6 +11,8 @@ n)`` confusion cells and ``(row_name, precision, recall, f1_score, support)``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +28,8 @@ def _div(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
-def _counts(df: DataFrame, label: str, pred: str, score: str | None) -> DataFrame:
+def _counts(df: DataFrame, label: str, pred: str, score: str | None,
+            by: Sequence[str] = ()) -> DataFrame:
     y = quoted(label).cast("int")
     p = quoted(pred).cast("int")
     aggs = [
@@ -39,7 +42,7 @@ def _counts(df: DataFrame, label: str, pred: str, score: str | None) -> DataFram
     if score:
         s = F.least(F.greatest(quoted(score).cast("double"), F.lit(EPS)), F.lit(1 - EPS))
         aggs.append(F.avg(-(y * F.ln(s) + (1 - y) * F.ln(1 - s))).alias("log_loss"))
-    return df.agg(*aggs)
+    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
 def confusion(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
@@ -51,35 +54,43 @@ def confusion(df: DataFrame, label: str = "label", pred: str = "prediction") ->
         for a, b, k in cells])).alias("c")).select("c.*")
 
 
-def _score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives / negatives per distinct score, written once (the running sum
-    reads it three times)."""
+def _score_counts(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Positives / negatives per (segment, distinct score), written once (the
+    running sum reads it three times)."""
     y = quoted(label).cast("long")
     return materialize(df.where(quoted(score).isNotNull()).groupBy(
-        quoted(score).cast("double").alias("s")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")))
+        *by, quoted(score).cast("double").alias("s")).agg(F.sum(y).alias("pos"),
+                                                          F.sum(1 - y).alias("neg")))
+
+
+def _grouped(df: DataFrame, by: Sequence[str]):
+    return df.groupBy(*by) if by else df.groupBy()
 
 
-def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """One row ``auc``: P(score_pos > score_neg) + 0.5 P(tie); NULL if one class."""
-    g = _score_counts(df, label, score)
-    r = running(g, ["s"], [("neg_below", "sum", "neg")], inclusive=False)
-    return r.agg((F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg")))
-                  / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
+            by: Sequence[str] = ()) -> DataFrame:
+    """``auc`` (per segment): P(score_pos > score_neg) + 0.5 P(tie); NULL if one class."""
+    g = _score_counts(df, label, score, by)
+    r = running(g, ["s"], [("neg_below", "sum", "neg")], partition_by=by, inclusive=False)
+    return _grouped(r, by).agg((F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg")))
+                                / (F.sum("pos") * F.sum("neg"))).alias("auc"))
 
 
-def average_precision(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """One row ``pr_auc``: sum over thresholds of (R_k - R_k-1) * P_k."""
-    g = _score_counts(df, label, score).withColumn("neg_s", -F.col("s"))
-    r = running(g, ["neg_s"], [("tp", "sum", "pos"), ("fp", "sum", "neg")], inclusive=True)
-    return r.agg((F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
-                  / F.sum("pos")).alias("pr_auc"))
+def average_precision(df: DataFrame, label: str = "label", score: str = "score",
+                      by: Sequence[str] = ()) -> DataFrame:
+    """``pr_auc`` (per segment): sum over thresholds of (R_k - R_k-1) * P_k."""
+    g = _score_counts(df, label, score, by).withColumn("neg_s", -F.col("s"))
+    r = running(g, ["neg_s"], [("tp", "sum", "pos"), ("fp", "sum", "neg")], partition_by=by,
+                inclusive=True)
+    return _grouped(r, by).agg((F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
+                                / F.sum("pos")).alias("pr_auc"))
 
 
 def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction",
-                   score: str = "score") -> DataFrame:
-    """Rows ``(metric, value)``: accuracy, balanced_accuracy, precision, recall,
-    f1, auc, pr_auc, log_loss (positive class 1, undefined ratios -> 0)."""
-    c = _counts(df, label, pred, score)
+                   score: str = "score", by: Sequence[str] = ()) -> DataFrame:
+    """Rows ``(*by, metric, value)``: accuracy, balanced_accuracy, precision,
+    recall, f1, auc, pr_auc, log_loss (positive class 1, undefined ratios -> 0)."""
+    c = _counts(df, label, pred, score, by)
     tp, fp, tn, fn, n = (F.col(k) for k in ("tp", "fp", "tn", "fn", "n"))
     rec1 = F.try_divide(tp.cast("double"), (tp + fn).cast("double"))
     rec0 = F.try_divide(tn.cast("double"), (tn + fp).cast("double"))
@@ -92,12 +103,13 @@ def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction"
         ("f1", _div(2 * tp, 2 * tp + fp + fn)),
         ("log_loss", F.col("log_loss")),
     ]
-    base = c.select(F.explode(F.array(*[
+    base = c.select(*by, F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), v.cast("double").alias("value")) for m, v in rows
-    ])).alias("m")).select("m.*")
-    auc = roc_auc(df, label, score).select(F.lit("auc").alias("metric"), F.col("auc").alias("value"))
-    ap = average_precision(df, label, score).select(F.lit("pr_auc").alias("metric"),
-                                                     F.col("pr_auc").alias("value"))
+    ])).alias("m")).select(*by, "m.*")
+    auc = roc_auc(df, label, score, by).select(*by, F.lit("auc").alias("metric"),
+                                               F.col("auc").alias("value"))
+    ap = average_precision(df, label, score, by).select(*by, F.lit("pr_auc").alias("metric"),
+                                                        F.col("pr_auc").alias("value"))
     return base.unionByName(auc).unionByName(ap)
 
 

@@ -153,3 +153,47 @@ def eval_classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = EV.classification_report(scored_labels(spark, sf_dir), "label", "prediction")
     return r.select("row_name", *[r6(c).alias(c) for c in ("precision", "recall", "f1_score")],
                     "support")
+
+
+@query("eval_metrics_by_lang", sql="""
+WITH s AS (SELECT d.lang, CAST(l.toxic AS INTEGER) AS y,
+                  CAST(d.n_chars AS DOUBLE) / (CAST(d.n_chars AS DOUBLE) + 2000.0) AS p
+           FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+s2 AS (SELECT lang, y, p, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS yhat FROM s),
+cnt AS (SELECT lang, count(*) FILTER (WHERE y = 1 AND yhat = 1) AS tp,
+               count(*) FILTER (WHERE y = 0 AND yhat = 1) AS fp,
+               count(*) FILTER (WHERE y = 0 AND yhat = 0) AS tn,
+               count(*) FILTER (WHERE y = 1 AND yhat = 0) AS fn, count(*) AS n,
+               avg(-(y * ln(least(greatest(p, 2.220446049250313e-16), 1 - 2.220446049250313e-16))
+                     + (1 - y) * ln(1 - least(greatest(p, 2.220446049250313e-16), 1 - 2.220446049250313e-16)))) AS ll
+        FROM s2 GROUP BY lang),
+g AS (SELECT lang, p, sum(y) AS pos, sum(1 - y) AS neg FROM s2 GROUP BY lang, p),
+w AS (SELECT lang, p, pos, neg,
+             coalesce(sum(neg) OVER (PARTITION BY lang ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below,
+             sum(pos) OVER (PARTITION BY lang ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp_c,
+             sum(neg) OVER (PARTITION BY lang ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp_c
+      FROM g),
+m AS (
+  SELECT lang, 'accuracy' AS metric, CAST(tp + tn AS DOUBLE) / n AS value FROM cnt
+  UNION ALL SELECT lang, 'balanced_accuracy',
+     CASE WHEN tp + fn = 0 THEN CAST(tn AS DOUBLE) / (tn + fp)
+          WHEN tn + fp = 0 THEN CAST(tp AS DOUBLE) / (tp + fn)
+          ELSE (CAST(tp AS DOUBLE) / (tp + fn) + CAST(tn AS DOUBLE) / (tn + fp)) / 2 END FROM cnt
+  UNION ALL SELECT lang, 'precision', coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0) FROM cnt
+  UNION ALL SELECT lang, 'recall', coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0) FROM cnt
+  UNION ALL SELECT lang, 'f1', coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0) FROM cnt
+  UNION ALL SELECT lang, 'log_loss', ll FROM cnt
+  UNION ALL SELECT lang, 'auc', sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg)) FROM w GROUP BY lang
+  UNION ALL SELECT lang, 'pr_auc', sum(pos * tp_c / (tp_c + fp_c)) / sum(pos) FROM w GROUP BY lang
+)
+SELECT lang, metric, round(value, 6) AS value FROM m
+""")
+def eval_metrics_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics of ``eval_metrics`` per document language (``by=["lang"]``)."""
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("int").alias("label"))
+    doc = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    score = F.col("n_chars").cast("double") / (F.col("n_chars").cast("double") + F.lit(2000.0))
+    scored = lab.join(doc, "doc_id").select("lang", "label", score.alias("score"),
+                                            (score >= 0.5).cast("int").alias("prediction"))
+    m = EV.binary_metrics(scored, "label", "prediction", "score", by=["lang"])
+    return m.select("lang", "metric", r6("value").alias("value"))
