@@ -50,7 +50,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir() or None
     if not current:
         current = tempfile.mkdtemp(prefix="tabrix-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # noqa: BLE001 - some sessions refuse core conf changes
+            pass
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current

@@ -48,3 +48,17 @@ def test_no_single_partition_window(spark):
     df = _frame(spark, 500, 3)
     plan = running(df, ["o", "id"], [("s", "sum", "v")])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
+
+
+def test_hot_group_is_spread_over_bins(spark):
+    from tabrix.operators.prefix import range_bins
+    from tabrix.operators.split import _hash_cols
+
+    # one class holds 40% of the rows; its hash-ordered rows must not land in one bin
+    df = spark.range(20000).select("id", F.when(F.col("id") % 5 < 2, "hot")
+                                   .otherwise(F.concat(F.lit("c"), (F.col("id") % 97).cast("string")))
+                                   .alias("cls"))
+    binned = range_bins(_hash_cols(df, "id", 42), F.col("__hp").cast("double"), 16, out="b")
+    per_bin = [r["count"] for r in binned.where("cls = 'hot'").groupBy("b").count().collect()]
+    assert len(per_bin) >= 12
+    assert max(per_bin) <= 0.15 * 8000
