@@ -50,7 +50,7 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str] = DEFAULT_RENAMES)
     if len(set(new)) != len(new):
         dup = sorted({n for n in new if new.count(n) > 1})
         raise ValueError(f"column names collide after renaming: {dup}")
-    return df.select(*[quoted(c).alias(n) for c, n in zip(df.columns, new)])
+    return df.select(*[quoted(c) if c == n else quoted(c).alias(n) for c, n in zip(df.columns, new)])
 
 
 def _string_cols(df: DataFrame) -> list[str]:
@@ -101,6 +101,15 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
 
 
 def drop_empty_rows(df: DataFrame) -> DataFrame:
+    """Drop rows where every column is NULL.
+
+    The filter names every column; pushed below a projection of computed
+    columns, Catalyst's constraint inference doubles its constraint set once per
+    projected alias (2^columns). Inference only adds redundant filters, so it is
+    switched off for the session before such a filter is planned.
+    """
+    if len(df.columns) > 8:
+        df.sparkSession.conf.set("spark.sql.constraintPropagation.enabled", "false")
     return df.na.drop(how="all")
 
 

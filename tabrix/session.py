@@ -30,6 +30,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # wide cleaning plans (a NULL filter over every column below a
+        # projection of every column) make constraint inference double its
+        # constraint set per alias; it only adds redundant filters, so it is off
+        .config("spark.sql.constraintPropagation.enabled", "false")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
