@@ -72,8 +72,9 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
     """``auc`` (per segment): P(score_pos > score_neg) + 0.5 P(tie); NULL if one class."""
     g = _score_counts(df, label, score, by)
     r = running(g, ["s"], [("neg_below", "sum", "neg")], partition_by=by, inclusive=False)
-    return _grouped(r, by).agg((F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg")))
-                                / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+    return _grouped(r, by).agg(F.try_divide(
+        F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))).cast("double"),
+        (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"))
 
 
 def average_precision(df: DataFrame, label: str = "label", score: str = "score",
@@ -82,8 +83,9 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score",
     g = _score_counts(df, label, score, by).withColumn("neg_s", -F.col("s"))
     r = running(g, ["neg_s"], [("tp", "sum", "pos"), ("fp", "sum", "neg")], partition_by=by,
                 inclusive=True)
-    return _grouped(r, by).agg((F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
-                                / F.sum("pos")).alias("pr_auc"))
+    return _grouped(r, by).agg(F.try_divide(
+        F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))),
+        F.sum("pos").cast("double")).alias("pr_auc"))
 
 
 def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction",

@@ -38,3 +38,12 @@ def test_classification_report(spark):
     assert r["1"]["support"] == 2 and r["0"]["precision"] == 2 / 3
     assert r["accuracy"]["f1_score"] == 0.75
     assert abs(r["macro avg"]["recall"] - 0.75) < 1e-12
+
+
+def test_single_class_segment_gives_null_auc_and_ap(spark):
+    df = spark.createDataFrame([("a", 0, 0.2), ("a", 0, 0.7), ("b", 1, 0.3), ("b", 0, 0.6)],
+                               "seg string, label int, score double")
+    auc = {r["seg"]: r["auc"] for r in EV.roc_auc(df, by=["seg"]).collect()}
+    ap = {r["seg"]: r["pr_auc"] for r in EV.average_precision(df, by=["seg"]).collect()}
+    assert auc == {"a": None, "b": 0.0}
+    assert ap["a"] is None and abs(ap["b"] - 0.5) < 1e-12
