@@ -4,8 +4,9 @@
   numeric passthrough, ``VectorAssembler``, optional scaler, classifier. The
   whole pipeline is the estimator, so encoders are refitted inside each fold.
 * ``search``: seeded draw (without replacement) of ``n_iter`` parameter maps
-  from the grid, ``CrossValidator`` on a stratified ``foldCol`` (exact folds
-  from ``split.stratified_kfold``), ROC-AUC, refit of the best.
+  from the grid, cross-validation on a stratified ``foldCol`` (exact folds
+  from ``split.stratified_kfold``; feature stages fitted once per fold),
+  ROC-AUC, refit of the best.
 * ``search_summary`` / ``select_best``: scores as DataFrames.
 
 Algorithms: logistic regression, random forest, gradient-boosted trees (the
@@ -94,18 +95,51 @@ def search(train: DataFrame, pipeline, grid: Mapping[str, Sequence], label: str
            fold_col: str = "fold", n_iter: int | None = None, seed: int = 42,
            parallelism: int = 2, num_folds: int = 5):
     """Seeded random search (``n_iter`` >= grid size -> the whole grid) with
-    cross-validation on ``fold_col``; returns ``(CrossValidatorModel, maps)``."""
+    cross-validation on ``fold_col``; returns ``(CrossValidatorModel, maps)``.
+
+    The grid holds classifier parameters only (``param_grid``), so inside each
+    fold the feature stages (encoders, vocabulary, IDF, scaler) are fitted once
+    on the fold's training rows and their vectors persisted; only the
+    classifier is fitted per parameter map (``parallelism`` at a time). This is
+    ``CrossValidator`` on the whole pipeline without refitting identical
+    feature stages for every map. The best map (first wins ties) is refitted as
+    a whole pipeline on all of ``train``.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import StorageLevel
+    from pyspark.ml import Pipeline
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator
+    from pyspark.ml.tuning import CrossValidatorModel
 
     maps = param_grid(pipeline, grid)
     if n_iter is not None and n_iter < len(maps):
         maps = random.Random(seed).sample(maps, n_iter)
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
                                        metricName="areaUnderROC", numBins=0)
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=maps, evaluator=ev,
-                        foldCol=fold_col, numFolds=num_folds, parallelism=parallelism, seed=seed)
-    return cv.fit(train), maps
+    stages = pipeline.getStages()
+    clf, features = stages[-1], Pipeline(stages=stages[:-1])
+    keep = [label, clf.getFeaturesCol()]
+    scores = [[0.0] * num_folds for _ in maps]
+    for k in range(num_folds):
+        fit_rows = train.where(F.col(fold_col) != k)
+        fmodel = features.fit(fit_rows)
+        tr = fmodel.transform(fit_rows).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+        va = fmodel.transform(train.where(F.col(fold_col) == k)).select(*keep) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+
+        def run(i, tr=tr, va=va, k=k):
+            scores[i][k] = ev.evaluate(clf.fit(tr, maps[i]).transform(va))
+
+        with ThreadPoolExecutor(max(1, min(parallelism, len(maps)))) as pool:
+            list(pool.map(run, range(len(maps))))
+        tr.unpersist()
+        va.unpersist()
+    avg = [sum(f) / num_folds for f in scores]
+    std = [(sum((x - a) ** 2 for x in f) / num_folds) ** 0.5 for f, a in zip(scores, avg)]
+    best = max(range(len(maps)), key=lambda i: (avg[i], -i))
+    best_model = pipeline.fit(train, maps[best])
+    return CrossValidatorModel(best_model, avg, None, std), maps
 
 
 def search_summary(spark, cv_model, maps, algorithm: str) -> DataFrame:

@@ -66,7 +66,7 @@ def model_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     # 20 fold fits + refit read the training frame: materialise it once
     folds = materialize(S.stratified_kfold(train, "doc_id", "label", 5, 42, out="fold"))
     cv, maps = M.search(folds, _pipeline(), {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]},
-                        fold_col="fold", n_iter=4, seed=42, parallelism=2,
+                        fold_col="fold", n_iter=4, seed=42, parallelism=4,
                         num_folds=5)
     return M.search_summary(spark, cv, maps, "logistic_regression")
 
