@@ -85,6 +85,26 @@ def test_search_and_summary(spark):
     assert info["metrics"]["auc"] == 0.8 and info["env"] == "dev"
 
 
+def test_search_matches_crossvalidator_on_whole_pipeline(spark):
+    """Feature stages fitted once per fold give the scores of CrossValidator
+    refitting the whole pipeline for every parameter map."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
+    from tabrix.operators import split as S
+
+    df = S.stratified_kfold(_train(spark), "id", "label", 3, out="fold").cache()
+    pipe = M.build_pipeline(["age"], ["cat"], None, "logistic_regression", {"maxIter": 5},
+                            scaler="standard")
+    cv, maps = M.search(df, pipe, {"regParam": [0.0, 0.1]}, num_folds=3, parallelism=2)
+    ev = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0)
+    ref = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, foldCol="fold",
+                         numFolds=3).fit(df)
+    assert [round(float(x), 9) for x in cv.avgMetrics] == \
+        [round(float(x), 9) for x in ref.avgMetrics]
+    df.unpersist()
+
+
 def test_oversample_repeat(spark):
     from tabrix.operators.resample import oversample_repeat
 
