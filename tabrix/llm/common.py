@@ -50,3 +50,22 @@ def fresh(df: DataFrame, base: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def slices(sizes, most: int):
+    """(start, end) ranges of consecutive items of about ``most`` bytes together."""
+    start = total = 0
+    for i, n in enumerate(sizes):
+        total += n
+        if total >= most:
+            yield start, i + 1
+            start, total = i + 1, 0
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def texts_of(column) -> list[bytes]:
+    """UTF-8 bytes of an Arrow string column; NULL counts as empty."""
+    import pyarrow as pa
+
+    return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

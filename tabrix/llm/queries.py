@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from tabrix.llm.q_decontaminate import op4_fm_index_decontamination
+from tabrix.llm.q_packing import op1_best_fit_packing
 from tabrix.llm.q_quality import op9_risk_controlled_quality
 from tabrix.llm.q_sharding import op7_hash_tree_sharding
 
 QUERIES = {f.__name__: f for f in (
+    op1_best_fit_packing,
+    op4_fm_index_decontamination,
     op7_hash_tree_sharding,
     op9_risk_controlled_quality,
 )}
