@@ -5,6 +5,7 @@ from __future__ import annotations
 from tabrix.llm.q_decontaminate import op4_fm_index_decontamination
 from tabrix.llm.q_packing import op1_best_fit_packing
 from tabrix.llm.q_quality import op9_risk_controlled_quality
+from tabrix.llm.q_setsketch import op5_setsketch_near_dedup
 from tabrix.llm.q_sharding import op7_hash_tree_sharding
 from tabrix.llm.q_substrings import op3_suffix_array_dedup
 
@@ -12,6 +13,7 @@ QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing,
     op3_suffix_array_dedup,
     op4_fm_index_decontamination,
+    op5_setsketch_near_dedup,
     op7_hash_tree_sharding,
     op9_risk_controlled_quality,
 )}
