@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tabrix.llm.q_decontaminate import op4_fm_index_decontamination
+from tabrix.llm.q_katz import op8_katz_backoff_scores
 from tabrix.llm.q_packing import op1_best_fit_packing
 from tabrix.llm.q_quality import op9_risk_controlled_quality
 from tabrix.llm.q_setsketch import op5_setsketch_near_dedup
@@ -15,6 +16,7 @@ QUERIES = {f.__name__: f for f in (
     op4_fm_index_decontamination,
     op5_setsketch_near_dedup,
     op7_hash_tree_sharding,
+    op8_katz_backoff_scores,
     op9_risk_controlled_quality,
 )}
 ORACLE_SQL: dict[str, str] = {}

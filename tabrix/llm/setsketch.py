@@ -78,8 +78,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, shingle hash) of the distinct shingles, by text and hash."""
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word of all texts in order, words of each text)."""
     buf = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
     inside = ~_SPACE[buf]
@@ -89,8 +89,13 @@ def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     sums = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum(_LOWER[buf] * up[: len(buf)], out=sums[1:])
     word = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
-    upto = np.searchsorted(start, begins)
-    count = np.diff(upto)
+    return word, np.diff(np.searchsorted(start, begins))
+
+
+def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, shingle hash) of the distinct shingles, by text and hash."""
+    word, count = word_hashes(texts)
+    upto = np.concatenate([[0], np.cumsum(count)])
     number = np.repeat(np.arange(len(texts)), count)
     # windows of five words; a shorter text is one shingle of the words it has
     h = np.zeros(len(word), np.uint64)
