@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tabrix.llm.q_arc import OP10_SQL, op10_arc_to_warc
+from tabrix.llm.q_chat import OP2_SQL, op2_chat_formatting
 from tabrix.llm.q_decontaminate import op4_fm_index_decontamination
 from tabrix.llm.q_katz import op8_katz_backoff_scores
 from tabrix.llm.q_packing import op1_best_fit_packing
@@ -12,11 +14,16 @@ from tabrix.llm.q_substrings import op3_suffix_array_dedup
 
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing,
+    op2_chat_formatting,
     op3_suffix_array_dedup,
     op4_fm_index_decontamination,
     op5_setsketch_near_dedup,
     op7_hash_tree_sharding,
     op8_katz_backoff_scores,
     op9_risk_controlled_quality,
+    op10_arc_to_warc,
 )}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_chat_formatting": OP2_SQL,
+    "op10_arc_to_warc": OP10_SQL,
+}
