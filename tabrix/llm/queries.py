@@ -8,6 +8,7 @@ from tabrix.llm.q_decontaminate import op4_fm_index_decontamination
 from tabrix.llm.q_katz import op8_katz_backoff_scores
 from tabrix.llm.q_packing import op1_best_fit_packing
 from tabrix.llm.q_quality import op9_risk_controlled_quality
+from tabrix.llm.q_rollup import op6_token_rollup
 from tabrix.llm.q_setsketch import op5_setsketch_near_dedup
 from tabrix.llm.q_sharding import op7_hash_tree_sharding
 from tabrix.llm.q_substrings import op3_suffix_array_dedup
@@ -18,6 +19,7 @@ QUERIES = {f.__name__: f for f in (
     op3_suffix_array_dedup,
     op4_fm_index_decontamination,
     op5_setsketch_near_dedup,
+    op6_token_rollup,
     op7_hash_tree_sharding,
     op8_katz_backoff_scores,
     op9_risk_controlled_quality,
