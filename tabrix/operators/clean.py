@@ -95,22 +95,35 @@ def null_tokens(df: DataFrame, tokens: Sequence[str] = DEFAULT_NULL_TOKENS) -> D
         if c in s else quoted(c) for c in df.columns])
 
 
-def drop_duplicates(df: DataFrame) -> DataFrame:
-    """Full-row dedup, NULLs equal (hash aggregate with map-side combine)."""
-    return df.dropDuplicates()
+def drop_duplicates(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Full-row dedup, NULLs equal (hash aggregate with map-side combine).
+
+    With a unique ``key``, rows that agree in all other columns are equal and the
+    one with the smallest key stays.
+    """
+    if key is None:
+        return df.dropDuplicates()
+    rest = [quoted(c) for c in df.columns if c != key]
+    if not rest:
+        return df
+    return df.groupBy(*rest).agg(F.min(quoted(key)).alias(key)).select(*[quoted(c) for c in df.columns])
 
 
-def drop_empty_rows(df: DataFrame) -> DataFrame:
-    """Drop rows where every column is NULL.
+def drop_empty_rows(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
+    """Drop rows where every column is NULL (``exclude``: columns that do not count, such as a row key).
 
-    The filter names every column; pushed below a projection of computed
-    columns, Catalyst's constraint inference doubles its constraint set once per
-    projected alias (2^columns). Inference only adds redundant filters, so it is
-    switched off for the session before such a filter is planned.
+    The test names every column. As a plain filter it is pushed below computed
+    projections, where constraint inference doubles its set with every alias; a
+    condition on the partition id, which is always true, keeps it in its place.
     """
-    if len(df.columns) > 8:
-        df.sparkSession.conf.set("spark.sql.constraintPropagation.enabled", "false")
-    return df.na.drop(how="all")
+    out = set(exclude)
+    filled = [quoted(c).isNotNull() for c in df.columns if c not in out]
+    if not filled:
+        return df
+    some = filled[0]
+    for c in filled[1:]:
+        some = some | c
+    return df.where(F.when(F.spark_partition_id() >= 0, some))
 
 
 def drop_null_target(df: DataFrame, target: str) -> DataFrame:
@@ -161,7 +174,8 @@ def fit_impute(df: DataFrame, exclude: Sequence[str] = (), fill_value: str = UNK
         df.schema[c].dataType, (T.FloatType, T.DoubleType)) else F.lit(False))).alias(f"__n{i}")
         for i, c in enumerate(cols)]).first()
     with_nulls = {c for i, c in enumerate(cols) if row[f"__n{i}"]}
-    num = [c for c in cols if c in with_nulls and is_numeric_type(df.schema[c].dataType)]
+    num = [c for c in cols if c in with_nulls and is_numeric_type(df.schema[c].dataType)
+           and not isinstance(df.schema[c].dataType, T.BooleanType)]  # of booleans the mode
     other = [c for c in cols if c in with_nulls and c not in num]
     medians = {c: None for c in num}
     for r in exact_quantiles(df, num, [0.5]).collect():
@@ -221,7 +235,7 @@ def apply_label_map(df: DataFrame, target: str, labels: Sequence[str], out: str
                   .limit(21).collect())
         if unseen:
             names = sorted("nan" if r["__label"] is None else r["__label"] for r in unseen)
-            raise UnknownLabelError(f"Unknown labels found in test data: {names[:20]}")
+            raise UnknownLabelError(f"labels without an index (fitted on other rows): {names[:20]}")
     lf = F.broadcast(labels_frame(spark, labels, target, "__idx"))
     joined = df.join(lf, df[target].cast("string") == lf["__label"], "left")
     return joined.select(*[F.col("__idx").alias(out) if c == out else df[f"`{c}`"]

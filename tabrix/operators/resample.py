@@ -7,7 +7,7 @@ ordered by ``md5('<seed>:<key>')``; with ``extra = n_max - n_c`` every row gets
 result is exact and reproducible. Copies are generated in two steps (chunks of
 at most ``CHUNK`` copies are spread over partitions, then expanded) so that a
 tiny class that must be multiplied many times is not expanded in one task.
-Skipped when the target has fewer than two classes.
+A table with one class gets no copies.
 
 The nearest-neighbour (value-difference metric) variant of the reference is off
 in every environment there and is not built here (see README).
@@ -17,11 +17,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tabrix.functions.nulls import quoted
 from tabrix.operators.prefix import row_positions
-from tabrix.operators.split import DEFAULT_SEED, MAX_STRATA, _hash_cols
+from tabrix.operators.split import DEFAULT_SEED, _hash_cols
 
 CHUNK = 4096
 
@@ -29,20 +28,13 @@ CHUNK = 4096
 def oversample_repeat(df: DataFrame, label: str, key: str, seed: int = DEFAULT_SEED,
                       copy_col: str = "copy_id") -> DataFrame:
     """Original rows (``copy_id`` 0) plus generated copies (1, 2, ...)."""
-    counts = df.groupBy(quoted(label).alias("__c")).agg(F.count(F.lit(1)).alias("n")) \
-        .limit(MAX_STRATA + 1).collect()
-    if len(counts) < 2:
-        return df.withColumn(copy_col, F.lit(0))
-    n_max = max(r["n"] for r in counts)
-    spark = df.sparkSession
-    sizes = spark.createDataFrame([(r["__c"], int(r["n"])) for r in counts],
-                                  T.StructType([T.StructField("__c", df.schema[label].dataType),
-                                                T.StructField("__n", T.LongType())]))
+    sizes = df.groupBy(quoted(label).alias("__c")).agg(F.count(F.lit(1)).alias("__n"))
     ranked = row_positions(_hash_cols(df, key, seed), ["__hp", "__h", key], [label], out="__pos")
-    # class-size table: bounded by MAX_STRATA rows, broadcast
-    sized = ranked.join(F.broadcast(sizes), quoted(label).eqNullSafe(F.col("__c")), "left")
+    # one row per class, however many there are: no hint, Spark broadcasts it when it is small
+    sized = ranked.join(sizes, quoted(label).eqNullSafe(F.col("__c")), "left")
+    largest = sizes.agg(F.max("__n")).scalar()
     n_cls = F.col("__n")
-    extra = F.lit(n_max) - n_cls
+    extra = largest - n_cls
     copies = (F.floor(extra / n_cls) + F.when(F.col("__pos") <= extra % n_cls, 1).otherwise(0)) \
         .cast("long")
     base = sized.withColumn("__copies", copies)

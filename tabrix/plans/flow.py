@@ -1,4 +1,4 @@
-"""End-to-end training flow: the studied pipeline's stages as one lazy plan.
+"""End-to-end training flow: the studied pipeline's stages over one raw table (fits and checkpoints run as it is built).
 
 split -> validate (+ gate) -> clean -> text / dates -> label encoding ->
 feature frame -> cross-validated search -> evaluation -> drift -> retrain
@@ -72,11 +72,13 @@ def clean_frame(df: DataFrame, cfg: FlowConfig, target: str, coerce_cols=None, s
     """The cleaning stage; returns ``(frame, coerce_cols, impute_stats)``."""
     d = C.rename_columns(df, cfg.renames)
     d = C.map_categories(C.trim_strings(d), cfg.value_maps)
-    d = C.drop_empty_rows(C.drop_duplicates(C.null_tokens(d, cfg.rules.null_tokens)))
+    # every row has its own key: it is no part of what makes rows equal or empty, and is not coerced
+    key = C.normalize_name(cfg.key)
+    d = C.drop_empty_rows(C.drop_duplicates(C.null_tokens(d, cfg.rules.null_tokens), key), [key])
     d = C.drop_null_target(d, target)
     d = materialize(d)
     if coerce_cols is None:
-        coerce_cols = C.fit_coerce_numeric(d, target)
+        coerce_cols = [c for c in C.fit_coerce_numeric(d, target) if c != key]
     d = C.apply_coerce_numeric(d, coerce_cols)
     d = normalize_columns(d, list(cfg.text_columns))
     d = enrich_dates(d, list(cfg.date_columns), cfg.date_diff, cfg.date_diff_name)

@@ -8,6 +8,7 @@ cluster. Only when it is unset (tests, local runs) do we set one ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,10 +31,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # wide cleaning plans (a NULL filter over every column below a
-        # projection of every column) make constraint inference double its
-        # constraint set per alias; it only adds redundant filters, so it is off
-        .config("spark.sql.constraintPropagation.enabled", "false")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -45,14 +42,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir`` from the session. Sets a private folder only
-    when none is configured (local tests); on a cluster the setting is expected
-    to point at shared storage.
+    Reads ``spark.checkpoint.dir`` from the session. In local mode, where the
+    driver is the only executor, an unset folder becomes a private one (tests);
+    on a cluster it is an error, since executors do not share local folders.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir() or None
     if not current:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         current = tempfile.mkdtemp(prefix="tabrix-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", current)

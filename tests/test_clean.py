@@ -78,7 +78,7 @@ def test_label_encoder_and_unseen(spark):
         C.apply_label_map(test, "t", labels)
 
 
-def test_wide_cleaning_chain_turns_off_constraint_inference(spark):
+def test_wide_cleaning_chain_plans_with_constraint_inference_on(spark):
     """A NULL filter over all 40 columns above a projection of 40 computed
     columns: constraint inference would double its set per alias (2^40)."""
     spark.conf.set("spark.sql.constraintPropagation.enabled", "true")
@@ -87,5 +87,5 @@ def test_wide_cleaning_chain_turns_off_constraint_inference(spark):
                                ", ".join(f"{c} string" for c in cols))
     d = C.null_tokens(C.map_categories(C.trim_strings(C.rename_columns(df, {})), {}), ["?"])
     d = C.drop_null_target(C.drop_empty_rows(C.drop_duplicates(d)), "c0")
-    assert spark.conf.get("spark.sql.constraintPropagation.enabled") == "false"
+    assert spark.conf.get("spark.sql.constraintPropagation.enabled") == "true"
     assert [r["c5"] for r in d.collect()] == ["v5"]
