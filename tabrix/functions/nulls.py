@@ -76,3 +76,13 @@ def strip_ws(c: Column) -> Column:
 
 def quoted(name: str) -> Column:
     return F.col(f"`{name}`")
+
+
+def present(df, column: str, message: str):
+    """``df``, which fails on evaluation if ``column`` holds a NULL.
+
+    The check is a filter: unlike a column that nobody reads, it is evaluated by
+    every action, ``count()`` included.
+    """
+    c = quoted(column)
+    return df.where(F.when(c.isNotNull(), F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean")))

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabrix.functions.nulls import is_numeric_type, quoted
+from tabrix.functions.nulls import is_numeric_type, present, quoted
 
 PSI_EPS = 1e-6
 MEAN_EPS = 1e-6
@@ -161,7 +161,7 @@ def concept_drift(ref: DataFrame, cur: DataFrame, target: str, threshold: float
     if target not in ref.columns or target not in cur.columns:
         return spark.createDataFrame(
             [(None, None, None, float(threshold), False,
-              f"Target column '{target}' not present for concept drift check")],
+              f"no column {target}: label rates cannot be compared")],
             "reference_target_rate double, current_target_rate double, delta double, "
             "threshold double, status boolean, message string")
     t = lambda df: F.avg(quoted(target).cast("string").try_cast("double"))
@@ -179,12 +179,11 @@ def model_drift(current: DataFrame, baseline: DataFrame, metric_name: str = "auc
                 threshold: float = 0.05) -> DataFrame:
     """``current(metric, value)`` vs ``baseline(metric, value)`` (0 or 1 row for
     the metric). No baseline -> status false, drop 0. Metric missing -> error on
-    evaluation (``assert_true``)."""
-    cur = current.where(F.col("metric") == metric_name).select(F.col("value").alias("current_metric"))
+    evaluation."""
+    # a global aggregate: a missing metric is a row with NULL, not an empty frame
+    cur = current.agg(F.max(F.when(F.col("metric") == metric_name, F.col("value"))).alias("current_metric"))
     base = baseline.where(F.col("metric") == metric_name).select(F.col("value").alias("baseline_metric"))
-    cur = cur.select(F.assert_true(F.col("current_metric").isNotNull(),
-                                   f"Model drift metric '{metric_name}' missing").alias("__ok"),
-                     "current_metric").drop("__ok")
+    cur = present(cur, "current_metric", f"the evaluation holds no {metric_name} to compare")
     j = cur.withColumn("baseline_metric", base.limit(1).scalar())
     b = F.col("baseline_metric")
     denom = F.when(F.abs(b) > MEAN_EPS, F.abs(b)).otherwise(F.lit(1.0))

@@ -17,30 +17,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabrix.functions.nulls import present
 from tabrix.operators.prefix import running
 
 
 def version_key(df: DataFrame) -> DataFrame:
     """``version``, else legacy ``candidate_version``; rows with neither fail."""
     if "version" not in df.columns and "candidate_version" not in df.columns:
-        raise KeyError("Registration payload missing required key: version")
+        raise KeyError("no column names the version of a run")
     cols = [F.col(c) for c in ("version", "candidate_version") if c in df.columns]
-    v = F.coalesce(*cols)
-    checked = df.withColumn("version", v).withColumn(
-        "__ok", F.assert_true(F.col("version").isNotNull(),
-                              "Registration payload missing required key: version"))
-    return checked.drop("__ok", *(["candidate_version"] if "candidate_version" in df.columns else []))
+    found = df.withColumn("version", F.coalesce(*cols))
+    return present(found, "version", "a registered run names no version").drop("candidate_version")
 
 
 def ledger(runs: DataFrame, higher_is_better: bool = True, keys=("model_name", "env"),
            order=("ts", "version")) -> DataFrame:
     keys, order = list(keys), list(order)
-    signed = F.col("score") if higher_is_better else -F.col("score")
+    # a run without a score (NULL or NaN) is never the best and never promoted
+    score = F.when(~F.isnan(F.col("score").cast("double")), F.col("score"))
+    signed = score if higher_is_better else -score
     eligible = F.when(~F.coalesce(F.col("should_retrain"), F.lit(False)), signed)
     step1 = running(runs, order, [("__best_before", "max", eligible)], partition_by=keys,
                     inclusive=False)
     promoted = (~F.coalesce(F.col("should_retrain"), F.lit(False))) & (
-        F.col("__best_before").isNull() | (signed > F.col("__best_before")))
+        F.col("__best_before").isNull() | (signed > F.col("__best_before"))) & signed.isNotNull()
     step1 = step1.withColumn("promoted", promoted)
     step2 = running(step1, order, [("champion_before", "last",
                                     F.when(F.col("promoted"), F.col("version")))],
@@ -76,18 +76,13 @@ def current_aliases(ledger_df: DataFrame, keys=("model_name", "env"),
 def select_best(scores: DataFrame, group: str | None, candidate: str, score: str,
                 order: str | None = None) -> DataFrame:
     """Highest score per group; ties go to the first candidate (smallest
-    ``order``, default the candidate itself). ``max_by`` with a tie-breaking
-    struct: partial aggregation, no sort of the whole table."""
-    o = F.col(order or candidate)
-    key = F.struct((-F.col(score)).alias("neg_score"), o.alias("tie"))
-    g = scores.groupBy(group) if group else scores.groupBy()
+    ``order``, default the candidate itself). Candidates without a score (NULL
+    or NaN) do not count; both outputs come from one struct, by partial
+    aggregation."""
+    valid = scores.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+    best = F.min(F.struct((-F.col(score)).alias("neg"), F.col(order or candidate).alias("tie"),
+                          F.col(candidate).alias("candidate"), F.col(score).alias("score")))
+    g = valid.groupBy(group) if group else valid.groupBy()
     cols = [group] if group else []
-    return g.agg(F.min_by(F.col(candidate), key).alias("best_candidate"),
-                 F.max(F.col(score)).alias("best_score")).select(*cols, "best_candidate",
-                                                                 "best_score")
-
-
-def _is_numeric(df: DataFrame, col: str) -> bool:
-    from tabrix.functions.nulls import is_numeric_type
-
-    return is_numeric_type(df.schema[col].dataType)
+    return g.agg(best.alias("b")).select(*cols, F.col("b.candidate").alias("best_candidate"),
+                                         F.col("b.score").alias("best_score"))

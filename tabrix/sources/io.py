@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabrix.functions.nulls import CSV_NA_TOKENS, canonical_nulls, quoted
+from tabrix.functions.nulls import CSV_NA_TOKENS, canonical_nulls, present, quoted
 
 
 class EmptyInputError(ValueError):
@@ -43,6 +43,20 @@ def _na_to_null(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
     return df.select(*exprs)
 
 
+def _typed(df: DataFrame) -> DataFrame:
+    """String columns as the narrowest type that all their values parse as."""
+    kinds = ("bigint", "double", "boolean")
+    flags = [F.every(quoted(c).isNull() | F.expr(f"try_cast(trim(`{c}`) AS {k})").isNotNull()).alias(f"{i}_{k}")
+             for i, c in enumerate(df.columns) for k in kinds]
+    filled = [F.count(quoted(c)).alias(f"{i}_n") for i, c in enumerate(df.columns)]
+    row = df.agg(*flags, *filled).first()
+    out = []
+    for i, c in enumerate(df.columns):
+        kind = next((k for k in kinds if row[f"{i}_n"] and row[f"{i}_{k}"]), None)
+        out.append(F.expr(f"try_cast(trim(`{c}`) AS {kind})").alias(c) if kind else quoted(c))
+    return df.select(*out)
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -54,16 +68,18 @@ def read_table(
 ) -> DataFrame:
     """Read a table and apply the missing-value rules of the reference reader.
 
-    CSV: header row, explicit schema if given (``inferSchema`` otherwise, as
-    the reference does), every NA token -> NULL. All formats: NaN -> NULL.
+    CSV: header row, every NA token -> NULL; without an explicit schema, columns
+    are typed by the values that are left (one pass): bigint, double, boolean or
+    string. All formats: NaN -> NULL.
     """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        df = reader.option("header", True).option("inferSchema", schema is None) \
-            .option("mode", "PERMISSIVE").option("nanValue", "NaN").csv(path)
+        df = reader.option("header", True).option("mode", "PERMISSIVE").option("nanValue", "NaN").csv(path)
         df = _na_to_null(df, na_tokens)
+        if schema is None:
+            df = _typed(df)
     elif fmt == "json":
         df = reader.option("mode", "FAILFAST").json(path)
     elif fmt == "parquet":
@@ -72,7 +88,7 @@ def read_table(
         df = reader.format(fmt).load(path)
     df = canonical_nulls(df)
     if require_rows and df.isEmpty():
-        raise EmptyInputError(f"{label} is empty: {path}")
+        raise EmptyInputError(f"no rows in {label} at {path}")
     return df
 
 
@@ -88,11 +104,11 @@ def require_inputs(spark: SparkSession, paths: dict[str, str], fmt: str = "parqu
     for name, path in paths.items():
         if not _path_exists(spark, path):
             rows.append((name, "input_exists", None, 0.0, 1.0, False,
-                         f"{name}: file not found at {path}."))
+                         f"{name}: nothing at {path}"))
             continue
         empty = spark.read.format(fmt).load(path).isEmpty()
         rows.append((name, "input_not_empty", None, 0.0 if empty else 1.0, 1.0, not empty,
-                     f"{name}: file is empty." if empty else None))
+                     f"{name}: no rows at {path}" if empty else None))
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
@@ -118,17 +134,13 @@ def read_report(spark: SparkSession, path: str, schema: T.StructType | str,
     """Read a JSON report with a fixed schema; malformed records fail the job.
 
     ``required`` columns must be non-NULL in every row (checked lazily: the
-    returned frame raises on evaluation through ``assert_true``).
+    returned frame raises on evaluation).
     """
     df = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     for name in required:
         if name not in df.columns:
-            raise KeyError(f"report missing required key: {name}")
-    if required:
-        checks = [F.assert_true(quoted(n).isNotNull(), f"report missing required key: {n}")
-                  for n in required]
-        df = df.select("*", *[c.alias(f"__chk{i}") for i, c in enumerate(checks)]) \
-            .drop(*[f"__chk{i}" for i in range(len(checks))])
+            raise KeyError(f"the report schema has no {name}")
+        df = present(df, name, f"a report row has no {name}")
     return df
 
 
