@@ -44,27 +44,31 @@ def oversample_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.oversample_repeat(lab, "toxic", "doc_id", 42)
 
 
-def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """labelled documents with their uni+bigram terms (stateless, computed once)."""
-    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key and label alone: what splits and folds rank."""
+    return table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+
+
+def with_features(keys: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``keys`` with the documents' features and uni+bigram terms (stateless); the raw text is dropped."""
     doc = table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").cast("double"),
                                                    "lang", "source", "text")
-    return with_terms(lab.join(doc, "doc_id"), TEXT, "text_terms")
+    return with_terms(keys.join(doc, "doc_id"), TEXT, "text_terms").drop(TEXT)
 
 
 def _pipeline(params=None):
     return M.build_pipeline(NUMERIC, CATEGORICAL, TEXT, "logistic_regression",
-                            params or {"maxIter": 30}, scaler="standard", tfidf_max_features=2000,
+                            params or {"maxIter": 30}, scaler="standard",
                             text_terms="text_terms")
 
 
 @query("model_search")
 def model_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Random search over the regularisation grid with 5 exact stratified folds."""
-    data = training_frame(spark, sf_dir)
-    train, _ = S.split_frames(data, "doc_id", "label", 0.25, 42)
+    train, _ = S.split_frames(labelled(spark, sf_dir), "doc_id", "label", 0.25, 42)
+    folds = S.stratified_kfold(train, "doc_id", "label", 5, 42, out="fold")
     # 20 fold fits + refit read the training frame: materialise it once
-    folds = materialize(S.stratified_kfold(train, "doc_id", "label", 5, 42, out="fold"))
+    folds = materialize(with_features(folds, spark, sf_dir))
     cv, maps = M.search(folds, _pipeline(), {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]},
                         fold_col="fold", n_iter=4, seed=42, parallelism=4,
                         num_folds=5)
@@ -74,8 +78,8 @@ def model_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("train_score")
 def train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit on the stratified train split, score the held-out split (class, P(1))."""
-    data = training_frame(spark, sf_dir)
-    flagged = materialize(S.stratified_split(data, "doc_id", "label", 0.25, 42, "is_test"))
+    flagged = S.stratified_split(labelled(spark, sf_dir), "doc_id", "label", 0.25, 42, "is_test")
+    flagged = materialize(with_features(flagged, spark, sf_dir))
     train, test = flagged.where(~F.col("is_test")), flagged.where(F.col("is_test"))
     model = _pipeline({"maxIter": 30, "regParam": 0.1}).fit(train)
     scored = SC.score_batch(model, test, EXPECTED, keep=["doc_id", "label"])
