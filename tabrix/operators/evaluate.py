@@ -67,25 +67,43 @@ def _grouped(df: DataFrame, by: Sequence[str]):
     return df.groupBy(*by) if by else df.groupBy()
 
 
+def rank_metrics(df: DataFrame, label: str = "label", score: str = "score",
+                 by: Sequence[str] = ()) -> DataFrame:
+    """``auc`` and ``pr_auc`` (per segment), NULL where undefined.
+
+    auc: P(score_pos > score_neg) + 0.5 P(tie). pr_auc: sum over thresholds of
+    (R_k - R_k-1) * P_k. The counts per score are written once; one ascending
+    running sum serves both, since what lies above a score is the total less
+    what lies below.
+    """
+    g = _score_counts(df, label, score, by)
+    r = running(g, ["s"], [("pos_below", "sum", "pos"), ("neg_below", "sum", "neg")],
+                partition_by=by, inclusive=False)
+    totals = _grouped(g, by).agg(F.sum("pos").alias("__p"), F.sum("neg").alias("__n"))
+    if by:
+        own = totals.select(*[quoted(c).alias(f"__by{i}") for i, c in enumerate(by)], "__p", "__n")
+        same = [quoted(c).eqNullSafe(F.col(f"__by{i}")) for i, c in enumerate(by)]
+        r = r.join(own, same)
+    else:
+        r = r.withColumns({c: totals.select(c).scalar() for c in ("__p", "__n")})
+    below_p, below_n = (F.coalesce(c, F.lit(0)) for c in ("pos_below", "neg_below"))
+    tp, fp = F.col("__p") - below_p, F.col("__n") - below_n
+    return _grouped(r, by).agg(
+        F.try_divide(F.sum(F.col("pos") * (below_n + 0.5 * F.col("neg"))).cast("double"),
+                     (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"),
+        F.try_divide(F.sum(F.col("pos") * tp / (tp + fp)), F.sum("pos").cast("double")).alias("pr_auc"))
+
+
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
             by: Sequence[str] = ()) -> DataFrame:
-    """``auc`` (per segment): P(score_pos > score_neg) + 0.5 P(tie); NULL if one class."""
-    g = _score_counts(df, label, score, by)
-    r = running(g, ["s"], [("neg_below", "sum", "neg")], partition_by=by, inclusive=False)
-    return _grouped(r, by).agg(F.try_divide(
-        F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))).cast("double"),
-        (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"))
+    """``auc`` (per segment); NULL if there is one class."""
+    return rank_metrics(df, label, score, by).select(*by, "auc")
 
 
 def average_precision(df: DataFrame, label: str = "label", score: str = "score",
                       by: Sequence[str] = ()) -> DataFrame:
-    """``pr_auc`` (per segment): sum over thresholds of (R_k - R_k-1) * P_k."""
-    g = _score_counts(df, label, score, by).withColumn("neg_s", -F.col("s"))
-    r = running(g, ["neg_s"], [("tp", "sum", "pos"), ("fp", "sum", "neg")], partition_by=by,
-                inclusive=True)
-    return _grouped(r, by).agg(F.try_divide(
-        F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))),
-        F.sum("pos").cast("double")).alias("pr_auc"))
+    """``pr_auc`` (per segment)."""
+    return rank_metrics(df, label, score, by).select(*by, "pr_auc")
 
 
 def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction",
@@ -108,11 +126,9 @@ def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction"
     base = c.select(*by, F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), v.cast("double").alias("value")) for m, v in rows
     ])).alias("m")).select(*by, "m.*")
-    auc = roc_auc(df, label, score, by).select(*by, F.lit("auc").alias("metric"),
-                                               F.col("auc").alias("value"))
-    ap = average_precision(df, label, score, by).select(*by, F.lit("pr_auc").alias("metric"),
-                                                        F.col("pr_auc").alias("value"))
-    return base.unionByName(auc).unionByName(ap)
+    ranked = rank_metrics(df, label, score, by).select(*by, F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("auc", "pr_auc")])).alias("m"))
+    return base.unionByName(ranked.select(*by, "m.*"))
 
 
 def classification_report(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:

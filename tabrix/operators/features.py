@@ -41,7 +41,7 @@ def feature_frame(df: DataFrame, target: str, text_sources: Sequence[str],
                   combined: str = "combined_text", include_original: bool = False) -> DataFrame:
     """Require the target, combine text sources, drop them, put the target last."""
     if target not in df.columns:
-        raise FeatureError(f"Target column missing in feature input: {target}")
+        raise FeatureError(f"the frame has no label column {target}")
     out = combine_columns(df, text_sources, combined, drop_sources=not include_original)
     return out.select(*[quoted(c) for c in out.columns if c != target], quoted(target))
 
@@ -220,7 +220,7 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], kind: str) -> dict:
             lo, med, hi = q.get((c, 0.25)), q.get((c, 0.5)), q.get((c, 0.75))
             out[c] = (med or 0.0, _nz(None if lo is None else hi - lo))
         return out
-    raise FeatureError(f"Unsupported scaler option: {kind}")
+    raise FeatureError(f"no scaling is called {kind!r}")
 
 
 def _nz(v):
@@ -242,5 +242,5 @@ def assemble(cols: Sequence[str], out: str = "features"):
     from pyspark.ml.feature import VectorAssembler
 
     if not cols:
-        raise FeatureError("No valid feature columns found for preprocessing pipeline")
+        raise FeatureError("nothing to assemble: no numeric, category or text features")
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep")

@@ -38,7 +38,7 @@ def estimator(name: str, params: Mapping | None = None, label: str = "label",
         return RandomForestClassifier(labelCol=label, featuresCol=features, seed=seed, **params)
     if name in ("gbt", "xgboost"):
         return GBTClassifier(labelCol=label, featuresCol=features, seed=seed, **params)
-    raise ValueError(f"Unsupported algorithm name: {name}")
+    raise ValueError(f"no learner is called {name!r}")
 
 
 def scaler_stage(kind: str, inp: str, out: str):
@@ -52,7 +52,7 @@ def scaler_stage(kind: str, inp: str, out: str):
         return RobustScaler(inputCol=inp, outputCol=out, withCentering=True, withScaling=True)
     if kind == "none":
         return None
-    raise FeatureError(f"Unsupported scaler option: {kind}")
+    raise FeatureError(f"no scaling is called {kind!r}")
 
 
 def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], text: str | None,
