@@ -171,13 +171,14 @@ def tfidf_long(df: DataFrame, key: str, text_col: str, vocab: DataFrame,
 
 def tfidf_stages(text_col: str, out: str = "tfidf", max_features: int = 4000, min_df: float = 2.0,
                  max_df: float = 0.95, terms_col: str | None = None):
-    """MLlib stages for model pipelines (Spark's IDF omits the ``+1``; use the
-    relational form above when exact reference weights matter).
+    """Stages for model pipelines, with the weights of the relational form above.
 
     With ``terms_col`` (uni+bigrams already added by ``with_terms``, a stateless
     step done once before cross-validation) only the fitted stages remain:
     vocabulary and IDF, refitted inside every fold."""
-    from pyspark.ml.feature import IDF, CountVectorizer, NGram, RegexTokenizer, SQLTransformer
+    from pyspark.ml.feature import NGram, RegexTokenizer, SQLTransformer
+
+    from tabrix.operators.stages import TfidfStage
 
     stages = []
     if terms_col is None:
@@ -187,10 +188,7 @@ def tfidf_stages(text_col: str, out: str = "tfidf", max_features: int = 4000, mi
         merge = SQLTransformer(statement=f"SELECT *, concat(`{out}__tok`, `{out}__bi`) AS "
                                          f"`{out}__terms` FROM __THIS__")
         stages, terms_col = [tok, bi, merge], f"{out}__terms"
-    cv = CountVectorizer(inputCol=terms_col, outputCol=f"{out}__tf", vocabSize=max_features,
-                         minDF=min_df, maxDF=max_df)
-    idf = IDF(inputCol=f"{out}__tf", outputCol=out)
-    return [*stages, cv, idf]
+    return [*stages, TfidfStage(terms_col, out, max_features, int(min_df), max_df)]
 
 
 # -- scalers ----------------------------------------------------------------

@@ -42,12 +42,13 @@ def estimator(name: str, params: Mapping | None = None, label: str = "label",
 
 
 def scaler_stage(kind: str, inp: str, out: str):
-    from pyspark.ml.feature import MinMaxScaler, RobustScaler, StandardScaler
+    """Exact for standard and minmax; robust uses MLlib's approximate quantiles."""
+    from pyspark.ml.feature import RobustScaler
 
-    if kind == "standard":
-        return StandardScaler(inputCol=inp, outputCol=out, withMean=False, withStd=True)
-    if kind == "minmax":
-        return MinMaxScaler(inputCol=inp, outputCol=out)
+    from tabrix.operators.stages import ScaleStage
+
+    if kind in ("standard", "minmax"):
+        return ScaleStage(kind, inp, out)
     if kind == "robust":
         return RobustScaler(inputCol=inp, outputCol=out, withCentering=True, withScaling=True)
     if kind == "none":

@@ -62,6 +62,23 @@ def tfidf_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FE.tfidf_long(d, "doc_id", "text", v).select("doc_id", "term", r6("tfidf").alias("tfidf"))
 
 
+@query("tfidf_pipeline_documents", sql=f"""
+WITH {TFIDF_SQL},
+w AS (SELECT tf.doc_id, tf.term, tf.tf * v.idf AS w FROM tf JOIN vocab v ON tf.term = v.term)
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS tfidf FROM w
+""")
+def tfidf_pipeline_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature values that the model pipeline's text stage gives, in long form."""
+    from pyspark.ml.functions import vector_to_array
+
+    terms = FE.with_terms(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "terms").drop("text")
+    model = FE.tfidf_stages("text", "tfidf", 4000, 2, 0.95, terms_col="terms")[0].fit(terms)
+    names = F.lit(model.stages[0].vocabulary)
+    at = F.posexplode(vector_to_array("tfidf")).alias("i", "tfidf")
+    rows = model.transform(terms).select("doc_id", at).where("tfidf != 0")
+    return rows.select("doc_id", F.get(names, F.col("i")).alias("term"), r6("tfidf").alias("tfidf"))
+
+
 SCALE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 

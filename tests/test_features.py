@@ -54,3 +54,19 @@ def test_frame_and_manifest(spark):
     assert f.columns == ["n", "z", "combined_text", "t"]
     m = FE.manifest(f, "t")
     assert m["numeric_columns"] == ["n", "z"] and m["categorical_columns"] == []
+
+
+def test_pipeline_scalers_equal_the_relational_ones(spark, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
+    from tabrix.operators.model import scaler_stage
+
+    df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0), (5.0, 5.0)], "a double, b double")
+    for kind in ("standard", "minmax"):
+        want = sorted(tuple(r) for r in FE.scale(df, ["a", "b"], kind).collect())
+        model = Pipeline(stages=[FE.assemble(["a", "b"], "v"), scaler_stage(kind, "v", "f")]).fit(df)
+        model.write().overwrite().save(f"{tmp_path}/{kind}")
+        for m in (model, PipelineModel.load(f"{tmp_path}/{kind}")):
+            got = sorted(tuple(r.f) for r in m.transform(df).select(vector_to_array("f").alias("f")).collect())
+            assert [[round(x, 9) for x in r] for r in got] == [[round(x, 9) for x in r] for r in want]
