@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from tabrix.plans import ORACLE_SQL, QUERIES
 from tools.oracle_check import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -24,19 +25,19 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_shape(spark, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name}: {bad} in plan"
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     s_rows = [tuple(r) for r in df.collect()]
-    res = duck.execute(E.oracle_sql()[name])
+    res = duck.execute(ORACLE_SQL[name])
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
     assert sorted(df.columns) == sorted(d_cols)
