@@ -172,9 +172,8 @@ def certified_steps(labelled: DataFrame, stratum: str, step: str, risk: Risk = R
     n = F.sum("c").over(Window.partitionBy("stratum"))
     k = F.sum("c").over(Window.partitionBy("stratum").orderBy("step").rowsBetween(Window.unboundedPreceding, 0))
     runs = seen.unionByName(zero).select("stratum", "step", n.alias("n"), k.alias("k"))
-    total = strata.agg(F.count(F.lit(1)).alias("strata"))
-    tested = runs.crossJoin(F.broadcast(total)).withColumn(  # one row: the number of strata
-        "failed", _binomial_tail(F.col("n"), F.col("k"), risk.alpha) > F.lit(risk.delta) / F.col("strata"))
+    total = strata.agg(F.count(F.lit(1))).scalar()
+    tested = runs.withColumn("failed", _binomial_tail(F.col("n"), F.col("k"), risk.alpha) > F.lit(risk.delta) / total)
     first_bad = F.min(F.when(F.col("failed"), F.col("step")))
     return tested.groupBy("stratum").agg(
         F.max("n").alias("n_good"), F.coalesce(first_bad - 1, F.lit((1 << 20) - 1)).alias("last_step"))
