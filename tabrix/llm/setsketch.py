@@ -161,7 +161,7 @@ def estimate(larger: np.ndarray, smaller: np.ndarray, a: np.ndarray, b: np.ndarr
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = texts_of(batch.column(1))
-        for a, b in slices([len(t) for t in texts], 8 << 20):
+        for a, b in slices([len(t) for t in texts], 4 << 20):
             number, h = shingles(texts[a:b])
             size = np.bincount(number, minlength=b - a)
             registers = sketch(number, h, b - a)
@@ -189,7 +189,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = texts_of(batch.column(2))
-        for a, b in slices([len(t) for t in texts], 8 << 20):
+        for a, b in slices([len(t) for t in texts], 4 << 20):
             number, h = shingles(texts[a:b])
             parts = np.split(h, np.cumsum(np.bincount(number, minlength=b - a))[:-1])
             yield pa.RecordBatch.from_arrays(
