@@ -11,7 +11,7 @@ whose counts leave no mass gives up ``1 / (c(h) + 1)``.
 The count tables are hash-partitioned by word (unigrams) and by context (pairs).
 Neither a vocabulary nor a pair table is ever in one place:
 
-1. documents are dealt into slices of about ``SLICE`` bytes;
+1. each task cuts its documents into slices of about ``SLICE`` bytes, packed;
 2. each slice sends its distinct words with their training counts to the word
    partitions and gets the corpus totals of just those words back;
 3. each slice sends its distinct pairs, grouped by context, to the context
@@ -22,8 +22,9 @@ Neither a vocabulary nor a pair table is ever in one place:
 Slices pre-aggregate, so a frequent word or pair costs a partition one entry per
 slice; a context of more than ``SPLIT`` training tokens is spread over several
 partitions by its next word. Entries travel as packed arrays. Words are 64-bit
-hashes. Sums of counts of counts travel with the answers, so nothing passes
-through the driver.
+hashes. Counts of counts are summed to one row of eight numbers, a scalar of the
+plan, which travels with the answers. A slice writes to a partition
+only what it has for it.
 
 Edge cases: a NULL or empty text has one token, the end; NULL keys are hashed as
 the text ``NULL`` would not be: they count as held in (remainder of crc32 of an
@@ -34,18 +35,21 @@ an empty result; if nothing is training text every token is unknown.
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabrix.llm.common import texts_of
+from tabrix.llm.common import slices, texts_of
 from tabrix.llm.setsketch import mix, word_hashes
 
 K = 5
-SLICE = 16 << 20
+SLICE = 8 << 20
 SPLIT = 2_000_000
 END, BEGIN = np.uint64(1), np.uint64(2)
 _U = np.uint64
@@ -118,6 +122,39 @@ class Unigram:
         return np.where(c > 0, self.scale * d * c / max(self.total, 1.0), self.unknown)
 
 
+def _cut_slices(size: int):
+    """(slice, block): the documents of a task, packed whole, ``size`` bytes or more to a slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number = TaskContext.get().partitionId(), 0
+        part, held = [], 0
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+            for a, b in slices(lengths, size):
+                part.append(batch.slice(a, b - a))
+                held += sum(lengths[a:b])
+                if held >= size:
+                    yield _block((task << 32) + number, part)
+                    part, held, number = [], 0, number + 1
+        if any(x.num_rows for x in part):
+            yield _block((task << 32) + number, part)
+
+    return run
+
+
+def _block(slice_: int, part: list[pa.RecordBatch]) -> pa.RecordBatch:
+    sink = pa.BufferOutputStream()
+    table = pa.Table.from_batches(part).combine_chunks()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return pa.RecordBatch.from_arrays([pa.array([slice_], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                                      names=["slice", "block"])
+
+
+def _documents(blocks: pa.Table) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in blocks.column("block")]).combine_chunks()
+
+
 def _slice_words(table: pa.Table):
     word, text = tokens(texts_of(table.column("text")))
     held = np.asarray(table.column("held_out").to_pylist(), bool)
@@ -129,16 +166,38 @@ def _home(h: np.ndarray, parts: int) -> np.ndarray:
     return ((mix(h ^ _U(0x9E3779B97F4A7C15)) >> _U(32)) * _U(parts) >> _U(32)).astype(np.int64)
 
 
+def _loads(part: np.ndarray, slice_: int, payload: list[bytes]) -> pa.Table:
+    return pa.table([pa.array(part, pa.int32()), pa.array(np.full(len(part), slice_, np.int64)),
+                     pa.array(payload, pa.binary())], names=["part", "slice", "load"])
+
+
+def _replies(table: pa.Table, payload: list[bytes], stats: np.ndarray, round_: int) -> pa.Table:
+    """Answers to the slices, and a row (slice -1) with this partition's counts of counts."""
+    n = len(payload)
+    return pa.table([pa.concat_arrays([table.column("slice").combine_chunks(), pa.array([-1], pa.int64())]),
+                     pa.concat_arrays([table.column("part").combine_chunks(), pa.array([-1], pa.int32())]),
+                     pa.array([round_] * (n + 1), pa.int32()), pa.array([*payload, None], pa.binary()),
+                     pa.array([None] * n + [stats.tolist()], pa.list_(pa.float64()))],
+                    names=["slice", "part", "round", "load", "stats"])
+
+
+def _with_totals(answers: DataFrame) -> DataFrame:
+    """Every answer with the corpus' counts of counts, summed over the partitions: one value."""
+    own = answers.where("slice = -1").agg(*[F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(_STATS)])
+    total = own.select(F.array(*[F.col(f"s{i}") for i in range(_STATS)])).scalar()
+    return answers.where("slice >= 0").withColumn("stats", total)
+
+
 def _ask_words(parts: int):
-    def run(key, table):
-        _, text, held, types, code = _slice_words(table)
+    def run(key, blocks):
+        _, text, held, types, code = _slice_words(_documents(blocks))
         count = np.bincount(code[~held[text]], minlength=len(types)).astype(np.uint32)
         home = _home(types, parts)
         order = np.argsort(home, kind="stable")
         cuts = np.searchsorted(home[order], np.arange(parts + 1))
-        payload = [_pack(types[o], count[o]) for o in (order[a:b] for a, b in zip(cuts, cuts[1:], strict=False))]
-        return pa.table([pa.array(range(parts), pa.int32()), pa.array([key[0].as_py()] * parts, pa.int32()),
-                         pa.array(payload, pa.binary())], names=["part", "slice", "load"])
+        filled = np.flatnonzero(np.diff(cuts))
+        payload = [_pack(types[o], count[o]) for o in (order[cuts[p]: cuts[p + 1]] for p in filled)]
+        return _loads(filled, key[0].as_py(), payload)
 
     return run
 
@@ -149,10 +208,14 @@ def _sum_words(key, table):
     total = np.bincount(code, weights=np.concatenate([x[1] for x in loads]).astype(np.float64), minlength=len(types))
     stats, at, out = _stats(total), 0, []
     for words, _ in loads:
-        out.append(_pack(total[code[at: at + len(words)]].astype(np.int64), stats))
+        out.append(_pack(total[code[at: at + len(words)]].astype(np.int64)))
         at += len(words)
-    return pa.table([table.column("slice"), table.column("part"), pa.array([1] * len(out), pa.int32()),
-                     pa.array(out, pa.binary())], names=["slice", "part", "round", "load"])
+    return _replies(table, out, stats, 1)
+
+
+def _totals(table: pa.Table, which: int) -> np.ndarray:
+    rows = table.column("round").to_pylist()
+    return np.array(table.column("stats")[rows.index(which)].as_py())
 
 
 def _answers(table: pa.Table, which: int) -> list[list[np.ndarray]]:
@@ -165,7 +228,7 @@ def _known_words(answers: pa.Table, types: np.ndarray, parts: int) -> tuple[np.n
     got = _answers(answers, 1)
     count = np.zeros(len(types), np.int64)
     count[np.argsort(_home(types, parts), kind="stable")] = np.concatenate([x[0] for x in got])
-    return count, sum(x[1] for x in got)
+    return count, _totals(answers, 1)
 
 
 class _Pairs:
@@ -207,35 +270,30 @@ class _Pairs:
 
 
 def _ask_pairs(parts: int, split: int):
-    def run(key, docs, answers):
-        if not docs.num_rows:
-            return _EMPTY_LOADS
-        _, text, held, types, code = _slice_words(docs)
+    def run(key, blocks, answers):
+        _, text, held, types, code = _slice_words(_documents(blocks))
         count, stats = _known_words(answers, types, parts)
         pairs = _Pairs(code, text, types, count, parts, split)
         train = np.bincount(pairs.of[~held[text]], minlength=len(pairs.pair)).astype(np.uint32)
-        out = []
-        for p in range(parts):
+        filled, out = np.flatnonzero(np.diff(pairs.entry_cuts)), []
+        for p in filled:
             e = pairs.entry_order[pairs.entry_cuts[p]: pairs.entry_cuts[p + 1]]
             w = pairs.pair_order[pairs.pair_cuts[p]: pairs.pair_cuts[p + 1]]
-            out.append(_pack(pairs.name[e], pairs.size[e].astype(np.uint32), types[pairs.next[w]], train[w],
-                             count[pairs.next[w]].astype(np.uint32), stats))
-        return pa.table([pa.array(range(parts), pa.int32()), pa.array([key[0].as_py()] * parts, pa.int32()),
-                         pa.array(out, pa.binary())], names=["part", "slice", "load"])
+            # each distinct next word once, with its training count
+            words, index = np.unique(pairs.next[w], return_inverse=True)
+            out.append(_pack(pairs.name[e], pairs.size[e].astype(np.uint32), types[words], count[words],
+                             index.astype(np.uint16 if len(words) < 1 << 16 else np.uint32), train[w], stats))
+        return _loads(filled, key[0].as_py(), out)
 
     return run
 
 
-_EMPTY_LOADS = pa.table([pa.array([], pa.int32()), pa.array([], pa.int32()), pa.array([], pa.binary())],
-                        names=["part", "slice", "load"])
-
-
 def _sum_pairs(key, table):
     loads = [_unpack(x) for x in table.column("load").to_pylist()]
-    unigram = Unigram(loads[0][5])
+    unigram = Unigram(loads[0][6])
     names, name = np.unique(np.concatenate([x[0] for x in loads]), return_inverse=True)
     owner = np.repeat(name, np.concatenate([x[1] for x in loads]))
-    word = np.concatenate([x[2] for x in loads])
+    word = np.concatenate([x[2][x[4]] for x in loads])
     # distinct (context, word): sort by context, then word
     order = np.lexsort((word, owner))
     o, w = owner[order], word[order]
@@ -243,45 +301,49 @@ def _sum_pairs(key, table):
     new[1:] = (o[1:] != o[:-1]) | (w[1:] != w[:-1])
     code = np.empty(len(o), np.int64)
     code[order] = np.cumsum(new) - 1
-    total = np.bincount(code, weights=np.concatenate([x[3] for x in loads]).astype(np.float64)).astype(np.int64)
+    total = np.bincount(code, weights=np.concatenate([x[5] for x in loads]).astype(np.float64)).astype(np.int64)
     context = o[new]
     known = np.zeros(len(total), np.int64)
-    known[code] = np.concatenate([x[4] for x in loads])
+    known[code] = np.concatenate([x[3][x[4]] for x in loads])
     seen = total > 0
     n = len(names)
-    tokens_after = np.bincount(context, weights=total, minlength=n)
+    tokens_after = np.bincount(context, weights=total, minlength=n).astype(np.uint32)
+    # the mass of P(w) after a context: of one word its training count says it, and is a small number
+    several = np.bincount(context[seen], minlength=n) > 1
     mass = np.bincount(context[seen], weights=unigram(known[seen]), minlength=n)
-    low = [np.bincount(context[total == r], minlength=n).astype(np.int32) for r in range(1, K + 1)]
+    single = np.bincount(context[seen], weights=known[seen], minlength=n)
+    single = np.where(several, 0, single).astype(np.uint32)
+    low = [np.bincount(context[total == r], minlength=n).astype(np.uint32) for r in range(1, K + 1)]
     stats, at, entry, out = _stats(total), 0, 0, []
     for x in loads:
         mine = name[entry: entry + len(x[0])]
-        out.append(_pack(total[code[at: at + len(x[2])]].astype(np.uint32), tokens_after[mine], mass[mine],
-                         *(m[mine] for m in low), stats))
-        at += len(x[2])
+        out.append(_pack(total[code[at: at + len(x[4])]].astype(np.uint32), tokens_after[mine], several[mine].view(np.uint8),
+                         mass[mine[several[mine]]], single[mine], *(m[mine] for m in low)))
+        at += len(x[4])
         entry += len(x[0])
-    return pa.table([table.column("slice"), table.column("part"), pa.array([2] * len(out), pa.int32()),
-                     pa.array(out, pa.binary())], names=["slice", "part", "round", "load"])
+    return _replies(table, out, stats, 2)
 
 
 def _score(parts: int, split: int):
-    def run(key, docs, answers):
-        if not docs.num_rows:
-            return pa.table([pa.array([], docs.schema.field("key").type), pa.array([], pa.bool_()), *(
-                pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))], names=_COLUMNS)
+    def run(key, blocks, answers):
+        docs = _documents(blocks)
         _, text, held, types, code = _slice_words(docs)
         count, stats = _known_words(answers, types, parts)
         pairs = _Pairs(code, text, types, count, parts, split)
         got = _answers(answers, 2)
         total = np.zeros(len(pairs.pair), np.int64)
         total[pairs.pair_order] = np.concatenate([x[0] for x in got])
+        unigram = Unigram(stats)
+        after, several, mass, single, *low = (np.concatenate([x[i] for x in got]) for i in range(1, 5 + K))
+        own = np.where(single > 0, unigram(single.astype(np.int64)), 0.0)
+        own[several.astype(bool)] = mass
         sums = np.zeros((K + 2, len(pairs.used)))
-        sums[:, pairs.entry_order] = np.stack([np.concatenate([x[1 + i] for x in got]) for i in range(K + 2)])
+        sums[:, pairs.entry_order] = np.stack([after, own, *low])
         # shares of a context add up
         contexts, share = np.unique(pairs.used, return_inverse=True)
         sums = np.stack([np.bincount(share, weights=s, minlength=len(contexts)) for s in sums])
         after, mass, low = sums[0], sums[1], sums[2:]
-        unigram = Unigram(stats)
-        d = discounts(sum(x[-1] for x in got))
+        d = discounts(_totals(answers, 2))
         left = ((1 - d[1:, None]) * np.arange(1, K + 1)[:, None] * low).sum(axis=0) / np.maximum(after, 1)
         scale = np.where(left > 0, 1.0, after / (after + 1))
         left = np.where(left > 0, left, 1 / (after + 1))
@@ -310,15 +372,16 @@ def katz_scores(docs: DataFrame, key: str, text: str, held_out, slice_bytes: int
     ``held_out``: a boolean column; the other rows are the training text.
     """
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    parts = max(1, -(-size // slice_bytes))
-    deal = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(parts)).cast("int")
+    # a partition holds what about two slices send
+    parts = max(1, -(-size // (2 * slice_bytes)))
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-                       F.coalesce(held_out, F.lit(False)).alias("held_out"), deal.alias("slice"))
-    load, answer = "part int, slice int, load binary", "slice int, part int, round int, load binary"
-    words = rows.groupBy("slice").applyInArrow(_ask_words(parts), load).groupBy("part").applyInArrow(_sum_words, answer)
-    asked = rows.groupBy("slice").cogroup(words.groupBy("slice")).applyInArrow(_ask_pairs(parts, split), load)
-    both = words.unionByName(asked.groupBy("part").applyInArrow(_sum_pairs, answer))
-    out = rows.groupBy("slice").cogroup(both.groupBy("slice")).applyInArrow(
+                       F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    cut = rows.mapInArrow(_cut_slices(slice_bytes), "slice bigint, block binary")
+    load, answer = "part int, slice bigint, load binary", "slice bigint, part int, round int, load binary, stats array<double>"
+    words = _with_totals(cut.groupBy("slice").applyInArrow(_ask_words(parts), load).groupBy("part").applyInArrow(_sum_words, answer))
+    asked = cut.groupBy("slice").cogroup(words.groupBy("slice")).applyInArrow(_ask_pairs(parts, split), load)
+    both = words.unionByName(_with_totals(asked.groupBy("part").applyInArrow(_sum_pairs, answer)))
+    out = cut.groupBy("slice").cogroup(both.groupBy("slice")).applyInArrow(
         _score(parts, split), f"key {docs.schema[key].dataType.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, "
-                       "train_tokens bigint, base_score double, score double")
+                              "train_tokens bigint, base_score double, score double")
     return out.withColumnRenamed("key", key)
