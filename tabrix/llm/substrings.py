@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -254,7 +255,7 @@ def _cut_segments(width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, want = texts_of(batch.column(0)), batch.column(1)
+            texts, want = texts_of(batch.column(0).field("t")), batch.column(1)
             row = np.repeat(np.arange(len(texts)), np.diff(want.offsets.to_numpy()))
             flat = want.flatten()
             start, n = (flat.field(f).to_numpy() for f in ("start", "n"))
@@ -271,7 +272,7 @@ def _cut_windows(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _powers()
         for batch in batches:
-            texts, want = texts_of(batch.column(2)), batch.column(3)
+            texts, want = texts_of(batch.column(2).field("t")), batch.column(3)
             row = np.repeat(np.arange(len(texts)), np.diff(want.offsets.to_numpy()))
             flat = want.flatten()
             for r, start, n in zip(row.tolist(), flat.field("start").to_pylist(), flat.field("n").to_pylist(), strict=True):
@@ -333,11 +334,12 @@ def _on_characters(raw: bytes, spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _take_out(text: str, kept: list[str], width: int, whole_characters: bool):
+def _take_out(kept: list[str], with_text: bool, width: int, whole_characters: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rest, spans, sizes = [], [], []
-            for raw, hits in zip(texts_of(batch.column(text)), batch.column("hits").to_pylist(), strict=True):
+            row = batch.column(0)
+            for raw, hits in zip(texts_of(row.field("t")), batch.column(1).to_pylist(), strict=True):
                 first = [h["start"] + r["a"] for h in hits or () for r in h["ranges"]]
                 last = [h["start"] + r["b"] - 1 + width for h in hits or () for r in h["ranges"]]
                 found = _merge(first, last)
@@ -351,9 +353,10 @@ def _take_out(text: str, kept: list[str], width: int, whole_characters: bool):
                 spans.append([{"start": a, "end": b} for a, b in found])
                 sizes.append(len(raw))
             spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(sizes, pa.int64()), pa.array(spans, spans_type),
-                 pa.array(rest, pa.binary())], names=[*kept, "n_bytes", "spans", "kept"])
+            whole = [pc.if_else(row.field("gone"), None, row.field("t"))] if with_text else []
+            cols = [*(row.field(f"c_{i}") for i in range(len(kept))), *whole, pa.array(sizes, pa.int64()),
+                    pa.array(spans, spans_type), pa.array(rest, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=[*kept, *["text"] * with_text, "n_bytes", "spans", "kept"])
 
     return run
 
@@ -370,9 +373,14 @@ def remove_repeats(docs: DataFrame, key: str, text: str = "text", carry: list[st
     names = [c for c in docs.columns if c.lower() not in ("n_bytes", "spans", "kept")]
     carry = names if carry is None else [c for c in names if c in carry]
     t = F.coalesce(F.col(text), F.lit(""))
-    keyed = docs.select(*_row_id(docs, key, text), t.alias("t"))
-    runs = staged(keyed.mapInArrow(_find_runs(width, gram), "h1 bigint, h2 int, start bigint, n int, anchor bigint, "
-                                                            "mark bigint, weight int"), "repeat-runs")
+    kept = [c for c in carry if c != text]
+    # one relation for both joins with the texts below, so that the texts are dealt by row id once;
+    # Python takes it whole, or pruning would make two of it
+    row = F.struct(t.alias("t"), *[F.col(c).alias(f"c_{i}") for i, c in enumerate(kept)],
+                   *[F.col(text).isNull().alias("gone")] * (text in carry)).alias("row")
+    keyed = docs.select(*_row_id(docs, key, text), row)
+    runs = staged(keyed.select("h1", "h2", "row.t").mapInArrow(
+        _find_runs(width, gram), "h1 bigint, h2 int, start bigint, n int, anchor bigint, mark bigint, weight int"), "repeat-runs")
     again = runs.groupBy("anchor").agg(F.sum("weight").alias("w")).where("w >= 2").select("anchor")
     found = staged(runs.drop("weight").join(again, "anchor", "left_semi"), "repeat-candidates")
     place = F.min(F.struct("h1", "h2", "start")).alias("at")
@@ -386,7 +394,7 @@ def remove_repeats(docs: DataFrame, key: str, text: str = "text", carry: list[st
 
     want = calm.groupBy("at.h1", "at.h2").agg(F.collect_list(F.struct(
         F.col("at.start").alias("start"), "n", "anchor", "mark", "copies")).alias("want"))
-    bytes_of = keyed.join(want, ["h1", "h2"]).select("t", "want").mapInArrow(
+    bytes_of = keyed.join(want, ["h1", "h2"]).select("row", "want").mapInArrow(
         _cut_segments(width), "anchor bigint, mark bigint, copies bigint, segment binary")
     ranges = bytes_of.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(shards))).applyInArrow(
         _expand_shard(width), f"anchor bigint, mark bigint, ranges {_RANGES}")
@@ -395,7 +403,7 @@ def remove_repeats(docs: DataFrame, key: str, text: str = "text", carry: list[st
     if not crowded.isEmpty():
         lots = found.join(crowded, "anchor", "left_semi").select("h1", "h2", "start", "n").distinct()
         lots = lots.groupBy("h1", "h2").agg(F.collect_list(F.struct("start", "n")).alias("want"))
-        windows = keyed.join(lots, ["h1", "h2"]).select("h1", "h2", "t", "want").mapInArrow(
+        windows = keyed.join(lots, ["h1", "h2"]).select("h1", "h2", "row", "want").mapInArrow(
             _cut_windows(width), "h1 bigint, h2 int, start bigint, anchor bigint, mark bigint")
         windows = staged(windows, "repeat-windows")
         twice = windows.groupBy("anchor", "mark").agg(F.count(F.lit(1)).alias("c")).where("c >= 2").drop("c")
@@ -404,14 +412,10 @@ def remove_repeats(docs: DataFrame, key: str, text: str = "text", carry: list[st
         hits = hits.unionByName(more)
 
     by_row = hits.groupBy("h1", "h2").agg(F.collect_list(F.struct("start", "ranges")).alias("hits"))
-    rest = [c for c in names if c != text and c in carry]
-    rows = docs.select(*_row_id(docs, key, text), t.alias("t"), *[F.struct(*rest).alias("rest")] * bool(rest),
-                       *[F.col(text).isNull().alias("gone")] * (text in carry))
-    rows = rows.join(by_row, ["h1", "h2"], "left").select("t", "hits", *["rest.*"] * bool(rest), *["gone"] * (text in carry))
-    kept = [*rest, *(["t", "gone"] if text in carry else [])]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema) if kept else ""
-    out = rows.mapInArrow(_take_out("t", kept, width, whole_characters),
-                          (fields + ", " if fields else "") + "n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
+    rows = keyed.join(by_row, ["h1", "h2"], "left").select("row", "hits")
+    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
+    added = ["n_bytes bigint", "spans array<struct<start:bigint,end:bigint>>", "kept binary"]
     if text in carry:
-        out = out.withColumn(text, F.when(~F.col("gone"), F.col("t")))
-    return out.select(*carry, "n_bytes", "spans", "kept")
+        fields += [f"`{text}` string"]
+    return rows.mapInArrow(_take_out(kept, text in carry, width, whole_characters), ", ".join(fields + added)).select(
+        *carry, "n_bytes", "spans", "kept")
