@@ -68,21 +68,25 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays one after another; counts are small numbers and compress well."""
-    raw = [np.ascontiguousarray(a) for a in arrays]
-    head = struct.pack(f"<{len(raw)}q", *(len(a) for a in raw))
-    press = zstandard.ZstdCompressor(level=1)
-    return b"".join([struct.pack("<q", len(raw)), head, *(
-        struct.pack("<cq", a.dtype.char.encode(), len(z)) + z for a in raw for z in (press.compress(a.tobytes()),))])
+    """Arrays one after another, the bytes of their values plane by plane: high bytes of sorted
+    hashes and of counts repeat, and compress well."""
+    press, out = zstandard.ZstdCompressor(level=1), [struct.pack("<q", len(arrays))]
+    for a in arrays:
+        planes = np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T)
+        z = press.compress(planes.tobytes())
+        out.append(struct.pack("<cq", a.dtype.char.encode(), len(z)) + z)
+    return b"".join(out)
 
 
 def _unpack(raw: bytes) -> list[np.ndarray]:
     (n,) = struct.unpack_from("<q", raw)
-    at, out, press = 8 + 8 * n, [], zstandard.ZstdDecompressor()
+    at, out, press = 8, [], zstandard.ZstdDecompressor()
     for _ in range(n):
-        kind, size = struct.unpack_from("<cq", raw, at)
+        char, size = struct.unpack_from("<cq", raw, at)
         at += 9
-        out.append(np.frombuffer(press.decompress(raw[at: at + size]), np.dtype(kind.decode())))
+        kind = np.dtype(char.decode())
+        planes = np.frombuffer(press.decompress(raw[at: at + size]), np.uint8).reshape(kind.itemsize, -1)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
         at += size
     return out
 
@@ -253,7 +257,7 @@ class _Pairs:
         self.used = np.repeat(used, shares[used])
         share = np.arange(len(self.used)) - np.repeat(np.cumsum(shares[used]) - shares[used], shares[used])
         self.home = _home(name[self.used] + share.astype(np.uint64) * _U(0xD1342543DE82EF95), parts)
-        self.name = mix(name[self.used] + share.astype(np.uint64) * _U(0x2545F4914F6CDD1D))
+        self.name = name[self.used] + share.astype(np.uint64) * _U(0x2545F4914F6CDD1D)  # in order of the hashes
         # entry of each pair
         mine = (mix(types[self.next]) % shares[self.context].astype(np.uint64)).astype(np.int64)
         base = np.zeros(begin + 1, np.int64)
