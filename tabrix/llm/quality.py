@@ -49,6 +49,10 @@ RULES: dict[str, tuple[float, ...]] = {
 }
 
 
+#: A stratum is a property of few values, such as the language; more are an error.
+MAX_STRATA = 10_000
+
+
 @dataclass(frozen=True)
 class Risk:
     """At most the share ``alpha`` of a stratum's good documents may go, with confidence ``1 - delta``."""
@@ -179,6 +183,11 @@ def certified_steps(labelled: DataFrame, stratum: str, step: str, risk: Risk = R
         F.max("n").alias("n_good"), F.coalesce(first_bad - 1, F.lit((1 << 20) - 1)).alias("last_step"))
 
 
+def _named(stratum: Column) -> Column:
+    """A map key for a stratum, NULL included."""
+    return F.coalesce(F.concat(F.lit("="), stratum.cast("string")), F.lit(""))
+
+
 def judge(measured: DataFrame, labels: DataFrame, key: str, stratum: str, risk: Risk = Risk(),
           rules: dict[str, Sequence[float]] = RULES) -> DataFrame:
     """``measured`` with ``kept``: false if the base rule or a certified step rejects.
@@ -186,14 +195,16 @@ def judge(measured: DataFrame, labels: DataFrame, key: str, stratum: str, risk:
     ``labels`` has (``key``, ``quality``); ``quality`` 1 marks a good document.
     ``measured`` is read twice (labels, then verdicts): pass a written table.
     """
-    step, name, last = (fresh(measured, x) for x in ("step", "stratum_of", "last_of"))
+    step = fresh(measured, "step")
     # base rejections are the contract's own; the path answers for what it takes beyond them
     own = measured.withColumn(step, F.when(~F.col("base_failed"), severity_step(rules)))
     good = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.max("quality").alias("q")).where("q = 1")
     seen = own.select(F.col(key).alias("k"), F.col(stratum).alias("stratum"), F.col(step).alias("step"))
     steps = certified_steps(seen.join(good, "k", "left_semi"), "stratum", "step", risk)
-    # one row per stratum (languages here); joined by hash, broadcast only if Spark finds it small
-    steps = steps.select(F.col("stratum").alias(name), F.col("last_step").alias(last))
-    out = own.join(steps, F.col(stratum).eqNullSafe(F.col(name)), "left")
-    gone = F.coalesce(F.col(step) <= F.col(last), F.lit(False))
-    return out.withColumn("kept", ~(F.col("base_failed") | gone)).drop(step, name, last)
+    # the cutoffs are one value of the plan, a map by stratum of checked size: documents are not shuffled
+    entry = F.struct(_named(F.col("stratum")).alias("k"), F.col("last_step").alias("v"))
+    table = F.map_from_entries(F.collect_list(entry))
+    many = F.raise_error(F.lit(f"more than {MAX_STRATA} strata")).cast("map<string,int>")
+    cuts = steps.agg(F.when(F.count(F.lit(1)) <= MAX_STRATA, table).otherwise(many)).scalar()
+    gone = F.coalesce(F.col(step) <= F.element_at(cuts, _named(F.col(stratum))), F.lit(False))
+    return own.withColumn("kept", ~(F.col("base_failed") | gone)).drop(step)
