@@ -8,14 +8,15 @@ work is spread over tasks and no task grows with the input. A group leaves less
 than one sequence's worth of unused room beyond what its packing wastes.
 
 Within a group: best-fit decreasing first (a piece goes where it leaves the
-least room), then local search over the underfull sequences. It takes the
-emptiest one and tries, against fuller ones, to move a piece, to exchange one
-piece for a smaller one, or two for one, whatever fills the other most. Each
-such step shifts tokens from an emptier to a fuller sequence and so increases
-the sum of squared fills; a sequence that runs empty is dropped. It ends when no
-step is left, when the lower bound ``ceil(tokens / capacity)`` is reached, or
-after ``search`` pairs of sequences were looked at (a bound on effort: every
-piece is packed in any case).
+least room), then local search over the underfull sequences. It takes them from
+the fullest to the emptiest and lets each get a piece, or one piece for a smaller
+one of its own, or two for one, from another that is no fuller: whatever fills it
+most, from the emptiest that has it. Each such step shifts tokens from an emptier
+to a fuller sequence and so increases the sum of squared fills; a sequence that
+runs empty is dropped. An index by size (a length, or the sum of two of one
+sequence) names the emptiest giver, so sequences that have nothing to give are
+not looked at. The search ends when no step is left or when the lower bound
+``ceil(tokens / capacity)`` is reached, and at nothing else.
 
 Edge cases: NULL text counts as empty and gives one piece with the end id alone;
 repeated rows and NULL keys are packed like any other; an empty table gives an
@@ -24,7 +25,9 @@ empty result. Extra columns of ``pack``'s input pass through.
 
 from __future__ import annotations
 
+import heapq
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -98,89 +101,123 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _best_step(low: list[tuple[int, int]], high: list[tuple[int, int]], room: int) -> tuple[tuple, tuple] | None:
-    """What of ``low`` to give for what of ``high`` so that ``high`` gains most within ``room``.
+def _give(items: list[tuple[int, int]], size: int) -> tuple[tuple[int, int], ...]:
+    """One piece, or else two, of ``items`` (length, item) whose lengths sum to ``size``."""
+    seen: dict[int, tuple[int, int]] = {}
+    for x in items:
+        if x[0] == size:
+            return (x,)
+        seen.setdefault(x[0], x)
+    return next((x, y) for x in items if (y := seen.get(size - x[0])) is not None and y != x)
+
+
+class _Offers:
+    """Which underfull bin gives a size (one piece, or two together), the emptiest first."""
+
+    def __init__(self, bins: dict[int, list[tuple[int, int]]], fill: list[int], capacity: int):
+        self.fill, self.version = fill, dict.fromkeys(bins, 0)
+        self.heaps: list[list[tuple[int, int, int]]] = [[] for _ in range(capacity + 1)]
+        #: fill of the first bin of every size; outdated entries make it too low, never too high
+        self.first = np.full(capacity + 1, capacity + 1, np.int64)
+        for b, items in bins.items():
+            for size in self.sizes(items):
+                self.heaps[size].append((fill[b], b, 0))
+        for size, heap in enumerate(self.heaps):
+            if heap:
+                heapq.heapify(heap)
+                self.first[size] = heap[0][0]
+
+    @staticmethod
+    def sizes(items: list[tuple[int, int]]) -> set[int]:
+        count = Counter(x for x, _ in items)
+        one = sorted(count)
+        two = {x + y for i, x in enumerate(one) for y in one[i + 1:]} | {2 * x for x, c in count.items() if c > 1}
+        return two.union(one)
+
+    def changed(self, b: int, items: list[tuple[int, int]]) -> None:
+        self.version[b] += 1
+        for size in self.sizes(items):
+            heapq.heappush(self.heaps[size], (self.fill[b], b, self.version[b]))
+            self.first[size] = self.heaps[size][0][0]
+
+    def emptiest(self, size: int, but: int) -> int | None:
+        """The emptiest bin other than ``but`` that gives ``size``."""
+        heap, own, found = self.heaps[size], None, None
+        while heap:
+            _, b, version = heap[0]
+            if version == self.version[b] and b != but:
+                found = b
+                break
+            entry = heapq.heappop(heap)
+            if b == but and version == self.version[b]:
+                own = entry
+        if own is not None:
+            heapq.heappush(heap, own)
+        self.first[size] = heap[0][0] if heap else len(self.first)
+        return found
+
+    def best(self, b: int, items: list[tuple[int, int]]) -> tuple[int, int, int] | None:
+        """(giver, size, length taken back) of the step that fills ``b`` most, from the emptiest giver."""
+        mine, room = self.fill[b], len(self.first) - 1 - self.fill[b]
+        gain, step = 0, None
+        for back in sorted({0, *(x for x, _ in items)}):
+            least = max(gain, 1)  # as much again may come from an emptier bin
+            for at in np.flatnonzero(self.first[back + least: back + room + 1] <= mine)[::-1].tolist():
+                size = back + least + at
+                giver = self.emptiest(size, b)
+                if giver is None or self.fill[giver] > mine:
+                    continue
+                if size - back > gain or step is None or self.fill[giver] < self.fill[step[0]]:
+                    gain, step = size - back, (giver, size, back)
+                break
+        return step
 
-    Both hold (length, item). Moves, one-for-one and two-for-one exchanges.
-    """
-    best, step = 0, None
-    lows = sorted(low, reverse=True)
-    highs = [(0, None), *sorted(set(high))]
-    for y, item in highs:
-        back = () if item is None else ((y, item),)
-        for x, one in lows:
-            if best < x - y <= room:
-                best, step = x - y, (((x, one),), back)
-                break  # the largest that fits
-        if item is None:
-            continue
-        i, j = 0, len(lows) - 1  # two for one: the largest sum that fits
-        while i < j:
-            gain = lows[i][0] + lows[j][0] - y
-            if gain > room:
-                i += 1
-            else:
-                if gain > best:
-                    best, step = gain, ((lows[i], lows[j]), back)
-                j -= 1
-        if best == room:
-            break
-    return step
-
-
-def local_search(lengths: list[int], bins: list[list[int]], capacity: int, search: int = 20_000) -> list[list[int]]:
-    """Swap pieces between underfull bins until none can be emptied further."""
+
+def local_search(lengths: list[int], bins: list[list[int]], capacity: int) -> list[list[int]]:
+    """Swap pieces between underfull bins until no step is left."""
     least = math.ceil(sum(lengths) / capacity)
-    done = [b for b in bins if sum(lengths[i] for i in b) == capacity]
-    open_ = [[(lengths[i], i) for i in b] for b in bins if sum(lengths[i] for i in b) < capacity]
-    fill = [sum(x for x, _ in b) for b in open_]
-    live = set(range(len(open_)))
-    looked, stuck = 0, set()
-    while len(live) > 1 and len(done) + len(live) > least and looked < search:
-        rest = [b for b in live if b not in stuck]
-        if not rest:
-            break
-        low = min(rest, key=lambda b: fill[b])
+    fill = [sum(lengths[i] for i in b) for b in bins]
+    done = [b for b, f in zip(bins, fill, strict=True) if f >= capacity]
+    live = {n: [(lengths[i], i) for i in b] for n, b in enumerate(bins) if fill[n] < capacity}
+    moved = True
+    while moved and len(done) + len(live) > least:
         moved = False
+        offers = _Offers(live, fill, capacity)
         # the fullest first: what little room they have is filled before the emptier ones change
-        for high in sorted((b for b in live if b != low and fill[b] >= fill[low]), key=lambda b: -fill[b]):
-            looked += 1
-            if looked >= search:
-                break
-            while open_[low] and (step := _best_step(open_[low], open_[high], capacity - fill[high])):
-                give, take = step
+        for high in sorted(live, key=lambda b: -fill[b]):
+            while high in live and (step := offers.best(high, live[high])):
+                low, size, back = step
+                give = _give(live[low], size)
+                take = [x for x in live[high] if x[0] == back][:1] if back else []
                 for x in give:
-                    open_[low].remove(x)
+                    live[low].remove(x)
                 for x in take:
-                    open_[high].remove(x)
-                open_[high] += give
-                open_[low] += take
-                gain = sum(x for x, _ in give) - sum(x for x, _ in take)
-                fill[high] += gain
-                fill[low] -= gain
+                    live[high].remove(x)
+                live[high] += give
+                live[low] += take
+                fill[high] += size - back
+                fill[low] -= size - back
                 moved = True
+                offers.changed(low, live[low])
+                if not live[low]:
+                    del live[low]
                 if fill[high] == capacity:
-                    break
-            if fill[high] == capacity:
-                live.discard(high)
-                done.append([i for _, i in open_[high]])
-            if not open_[low]:
-                live.discard(low)
+                    offers.changed(high, [])
+                    done.append([i for _, i in live.pop(high)])
+                else:
+                    offers.changed(high, live[high])
+            if len(done) + len(live) <= least:
                 break
-        if not moved:
-            stuck.add(low)
-        elif moved:
-            stuck.clear()
-    return done + [[i for _, i in open_[b]] for b in sorted(live)]
+    return done + [[i for _, i in live[b]] for b in sorted(live)]
 
 
-def pack_lengths(lengths: list[int], capacity: int = CAPACITY, search: int = 20_000) -> list[list[int]]:
+def pack_lengths(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
     """Item numbers by sequence."""
-    return local_search(lengths, best_fit(lengths, capacity), capacity, search)
+    return local_search(lengths, best_fit(lengths, capacity), capacity)
 
 
 def pack(rows: DataFrame, by: list[str], length: str = "length", capacity: int = CAPACITY,
-         group_rows: int = 200_000, search: int = 20_000) -> DataFrame:
+         group_rows: int = 200_000) -> DataFrame:
     """``rows`` with ``sequence_id`` and ``offset`` (gapless from 0 in each sequence).
 
     ``by``: columns that spread the rows over groups. ``rows`` is read twice
@@ -196,7 +233,7 @@ def pack(rows: DataFrame, by: list[str], length: str = "length", capacity: int =
     def one(key, table):
         lengths = table.column(length).to_pylist()
         sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-        for s, items in enumerate(pack_lengths(lengths, capacity, search)):
+        for s, items in enumerate(pack_lengths(lengths, capacity)):
             at = 0
             for i in items:
                 sequence[i], offset[i] = (key[0].as_py() << 40) + s, at

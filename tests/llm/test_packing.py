@@ -74,3 +74,24 @@ def test_local_search_empties_bins_that_best_fit_leaves():
         assert len(last) <= len(first)
         better += len(last) < len(first)
     assert better > 0
+
+
+def steps_left(lengths, bins, capacity):
+    """Pairs of bins between which a piece, or one or two for one, can still go to the fuller."""
+    bins = [[lengths[i] for i in b] for b in bins if sum(lengths[i] for i in b) < capacity]
+    gives = [{*b, *(x + y for i, x in enumerate(b) for y in b[:i])} for b in bins]
+    return sum(0 < x - y <= capacity - sum(high)
+               for n, high in enumerate(bins) for m, low in enumerate(bins) if n != m and sum(low) <= sum(high)
+               for y in {0, *high} for x in gives[m])
+
+
+def test_local_search_of_many_bins_ends_when_no_step_is_left():
+    rng = random.Random(7)
+    for lengths, capacity in (([rng.randint(820, 2460) for _ in range(8000)], 4096),
+                              ([3 * rng.randint(20, 60) for _ in range(600)], 301)):
+        first = packing.best_fit(lengths, capacity)
+        last = packing.local_search(lengths, first, capacity)
+        assert sorted(i for b in last for i in b) == list(range(len(lengths)))
+        assert all(0 < sum(lengths[i] for i in b) <= capacity for b in last)
+        assert len(last) < len(first)
+        assert steps_left(lengths, last, capacity) == 0
