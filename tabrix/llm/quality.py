@@ -18,7 +18,8 @@ stratum is summed map-side.
 
 Edge cases: NULL and empty texts have zero counts and fail the base rule;
 a NULL stratum is a stratum of its own; a stratum without enough good labels
-gets no certified step, so only the base rule rejects there; a document labelled
+gets no certified step, so only the base rule rejects there; any number of strata
+is judged (cutoffs of more than ``MAX_STRATA`` are joined); a document labelled
 both good and bad counts as good; repeated rows are judged alike; an empty table
 gives an empty result. Columns of the input pass through; an added name replaces
 an equal one.
@@ -33,7 +34,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabrix.llm.common import SPACE, bind, fresh
+from tabrix.llm.common import SPACE, bind, fresh, staged
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -49,7 +50,7 @@ RULES: dict[str, tuple[float, ...]] = {
 }
 
 
-#: A stratum is a property of few values, such as the language; more are an error.
+#: Cutoffs of up to so many strata travel as one map; more are joined.
 MAX_STRATA = 10_000
 
 
@@ -201,10 +202,16 @@ def judge(measured: DataFrame, labels: DataFrame, key: str, stratum: str, risk:
     good = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.max("quality").alias("q")).where("q = 1")
     seen = own.select(F.col(key).alias("k"), F.col(stratum).alias("stratum"), F.col(step).alias("step"))
     steps = certified_steps(seen.join(good, "k", "left_semi"), "stratum", "step", risk)
-    # the cutoffs are one value of the plan, a map by stratum of checked size: documents are not shuffled
-    entry = F.struct(_named(F.col("stratum")).alias("k"), F.col("last_step").alias("v"))
-    table = F.map_from_entries(F.collect_list(entry))
-    many = F.raise_error(F.lit(f"more than {MAX_STRATA} strata")).cast("map<string,int>")
-    cuts = steps.agg(F.when(F.count(F.lit(1)) <= MAX_STRATA, table).otherwise(many)).scalar()
-    gone = F.coalesce(F.col(step) <= F.element_at(cuts, _named(F.col(stratum))), F.lit(False))
-    return own.withColumn("kept", ~(F.col("base_failed") | gone)).drop(step)
+    # a stratum without a certified step rejects nothing: only the others' cutoffs are needed
+    name, cut = fresh(own, "stratum_name"), fresh(own, "cut")
+    cuts = staged(steps.where("last_step >= 0").select(_named(F.col("stratum")).alias(name), F.col("last_step").alias(cut)),
+                  "quality-cutoffs")
+    if cuts.count() <= MAX_STRATA:
+        # one value of the plan: documents are not shuffled
+        table = cuts.agg(F.map_from_entries(F.collect_list(F.struct(name, cut)))).scalar()
+        own = own.withColumn(cut, F.element_at(table, _named(F.col(stratum))))
+    else:
+        # adaptive execution cuts hot strata
+        own = own.withColumn(name, _named(F.col(stratum))).join(cuts, name, "left").drop(name)
+    gone = F.coalesce(F.col(step) <= F.col(cut), F.lit(False))
+    return own.withColumn("kept", ~(F.col("base_failed") | gone)).drop(step, cut)

@@ -61,3 +61,20 @@ def test_verdicts(spark):
     assert sum(r.kept for r in none.collect()) == 421
     plan = none._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_any_number_of_strata(spark, monkeypatch):
+    # 10,100 strata with one good label each, and three with enough labels to certify steps
+    rows = [(i, f"x{i}", 30, 0.0) for i in range(10_100)]
+    rows += [(20_000 + i, s, 30, 0.0) for s, at in (("en", 0), ("fr", 2000), (None, 4000)) for i in range(at, at + 1000)]
+    rows += [(30_000 + i, s, 30, 90.0) for i, s in enumerate(("en", "fr", None, "x1", "new"))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, n_words int, n_symbols double").withColumns(
+        {"n_shouts": F.lit(0), "n_dup_lines": F.lit(0), "n_lines": F.lit(1), "base_failed": F.col("doc_id") == 5, "cut": F.lit("mine")})
+    labels = docs.where("doc_id < 30000").select("doc_id", F.lit(1).alias("quality"))
+    for most in (quality.MAX_STRATA, 2):  # cutoffs as one map, and joined
+        monkeypatch.setattr(quality, "MAX_STRATA", most)
+        out = quality.judge(docs, labels, "doc_id", "lang")
+        assert out.columns == [*docs.columns, "kept"]
+        got = out.collect()
+        assert len(got) == len(rows) and {r.cut for r in got} == {"mine"}
+        assert {r.doc_id for r in got if not r.kept} == {5, 30_000, 30_001, 30_002}
