@@ -3,7 +3,7 @@ import zlib
 import pytest
 from llm_data import documents, frame
 from test_decontaminate import brute as brute_hits
-from test_quality import plain
+from test_risk_rules import plain
 from test_setsketch import brute as brute_components
 from test_setsketch import near_copies
 from test_substrings import expected
