@@ -12,6 +12,7 @@ from tabrix.llm.q_rollup import op6_token_rollup
 from tabrix.llm.q_setsketch import op5_setsketch_near_dedup
 from tabrix.llm.q_sharding import op7_hash_tree_sharding
 from tabrix.llm.q_substrings import op3_suffix_array_dedup
+from tabrix.llm.q_urls import OP13_SQL, op13_link_graph_url_filter
 
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing,
@@ -24,8 +25,10 @@ QUERIES = {f.__name__: f for f in (
     op8_katz_backoff_scores,
     op9_risk_controlled_quality,
     op10_arc_to_warc,
+    op13_link_graph_url_filter,
 )}
 ORACLE_SQL: dict[str, str] = {
     "op2_chat_formatting": OP2_SQL,
     "op10_arc_to_warc": OP10_SQL,
+    "op13_link_graph_url_filter": OP13_SQL,
 }
