@@ -3,10 +3,12 @@
 Input ``runs(model_name, env, version, score, should_retrain, ts)``; one output
 row per run with the decision and the aliases after it. A run is promoted iff
 it is not gated by ``should_retrain`` and strictly beats every earlier eligible
-score (no earlier score -> promote). Because an unpromoted score never exceeds
-the best, the stored best equals the running max over all earlier eligible
-runs, so two running aggregates (``prefix.running``) replace the sequential
-registry updates; a hot (model, env) is spread over range bins.
+score (no earlier score -> promote). So the champion is always the earliest run
+that holds the best eligible score so far, and the whole registry state before a
+run is one value: the smallest ``(-score, order, version)`` of the eligible runs
+before it. Minima are associative, so one running aggregate (``prefix.running``)
+replaces the sequential registry updates; a hot (model, env) is spread over range
+bins.
 
 Aliases: every run becomes challenger at registration; a promoted run becomes
 champion and the previous champion becomes challenger (none -> cleared).
@@ -37,15 +39,14 @@ def ledger(runs: DataFrame, higher_is_better: bool = True, keys=("model_name", "
     score = F.when(~F.isnan(F.col("score").cast("double")), F.col("score"))
     signed = score if higher_is_better else -score
     eligible = F.when(~F.coalesce(F.col("should_retrain"), F.lit(False)), signed)
-    step1 = running(runs, order, [("__best_before", "max", eligible)], partition_by=keys,
-                    inclusive=False)
-    promoted = (~F.coalesce(F.col("should_retrain"), F.lit(False))) & (
-        F.col("__best_before").isNull() | (signed > F.col("__best_before"))) & signed.isNotNull()
-    step1 = step1.withColumn("promoted", promoted)
-    step2 = running(step1, order, [("champion_before", "last",
-                                    F.when(F.col("promoted"), F.col("version")))],
-                    partition_by=keys, inclusive=False)
-    best_before = F.col("__best_before") if higher_is_better else -F.col("__best_before")
+    # the champion after a run: best score first, then the earliest run with it
+    state = F.when(eligible.isNotNull(), F.struct((-eligible).alias("neg"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
+                                                  F.col("version").alias("version")))
+    ranked = running(runs, order, [("__state", "min", state)], partition_by=keys, inclusive=False)
+    best = -F.col("__state.neg")
+    promoted = eligible.isNotNull() & (F.col("__state").isNull() | (eligible > best))
+    step2 = ranked.withColumns({"promoted": promoted, "champion_before": F.col("__state.version")})
+    best_before = best if higher_is_better else F.col("__state.neg")
     decision = (F.when(F.coalesce(F.col("should_retrain"), F.lit(False)), F.lit("skipped_retrain"))
                 .when(F.col("promoted"), F.lit("promote")).otherwise(F.lit("keep")))
     return step2.select(

@@ -44,6 +44,60 @@ def oversample_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.oversample_repeat(lab, "toxic", "doc_id", 42)
 
 
+NOMINAL = ["lang", "source", "size_class"]
+_SIZE_CLASS = "CASE WHEN n_chars < 500 THEN 'short' WHEN n_chars < 2000 THEN 'middle' ELSE 'long' END"
+
+
+@query("oversample_neighbours", sql=f"""
+WITH d AS (SELECT l.doc_id, l.toxic, d.lang, d.source, {_SIZE_CLASS} AS size_class
+           FROM labels l JOIN documents d USING (doc_id)),
+cls AS (SELECT toxic, count(*) AS n_c FROM d GROUP BY toxic),
+long AS (SELECT doc_id, toxic, 0 AS f, 'lang' AS col, lang AS v FROM d
+         UNION ALL SELECT doc_id, toxic, 1, 'source', source FROM d
+         UNION ALL SELECT doc_id, toxic, 2, 'size_class', size_class FROM d),
+seen AS (SELECT col, v, toxic, count(*) AS c FROM long GROUP BY ALL),
+share AS (SELECT x.col, x.v, cls.toxic, CAST(floor(coalesce(s.c, 0) * 1000000 / x.n) AS BIGINT) AS p
+          FROM (SELECT col, v, sum(c) AS n FROM seen GROUP BY ALL) x CROSS JOIN cls
+          LEFT JOIN seen s ON s.col = x.col AND s.v = x.v AND s.toxic = cls.toxic),
+dirs AS (SELECT unnest(range(4)) AS pr),
+place AS (SELECT l.doc_id, l.toxic, pr, md5('42:' || l.doc_id) AS h,
+                 sum(s.p * (CAST('0x' || substr(md5(pr || ':' || l.col || ':=' || s.toxic), 1, 7) AS BIGINT) % 2001 - 1000)) AS spot
+          FROM long l JOIN share s ON s.col = l.col AND s.v = l.v CROSS JOIN dirs
+          GROUP BY l.doc_id, l.toxic, pr),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY toxic, pr ORDER BY spot, h, doc_id) AS pos FROM place),
+met AS (SELECT DISTINCT a.doc_id, b.doc_id AS other, b.h
+        FROM ranked a JOIN ranked b ON a.toxic = b.toxic AND a.pr = b.pr AND a.pos <> b.pos AND abs(a.pos - b.pos) <= 10),
+apart AS (SELECT m.doc_id, m.other, m.h, la.f, la.col, la.v AS va, lb.v AS vb
+          FROM met m JOIN long la ON la.doc_id = m.doc_id JOIN long lb ON lb.doc_id = m.other AND lb.f = la.f),
+col_diff AS (SELECT q.col, va, vb, sum(abs(x.p - y.p)) AS delta
+             FROM (SELECT DISTINCT col, va, vb FROM apart) q
+             JOIN share x ON x.col = q.col AND x.v = q.va
+             JOIN share y ON y.col = q.col AND y.v = q.vb AND y.toxic = x.toxic
+             GROUP BY q.col, va, vb),
+dist AS (SELECT doc_id, other, h, sum(delta * delta) AS d
+         FROM apart JOIN col_diff USING (col, va, vb) GROUP BY doc_id, other, h),
+near AS (SELECT doc_id, other FROM dist QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY d, h, other) <= 5),
+votes AS (SELECT n.doc_id, l.col, l.v, count(*) AS c FROM near n JOIN long l ON l.doc_id = n.other GROUP BY ALL),
+modes AS (SELECT doc_id, max(v) FILTER (WHERE col = 'lang') AS lang, max(v) FILTER (WHERE col = 'source') AS source,
+                 max(v) FILTER (WHERE col = 'size_class') AS size_class
+          FROM (SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY doc_id, col ORDER BY c DESC, v) = 1) GROUP BY doc_id),
+m AS (SELECT max(n_c) AS n_max FROM cls),
+r AS (SELECT doc_id, toxic, row_number() OVER (PARTITION BY toxic ORDER BY md5('42:' || doc_id), doc_id) AS pos FROM d),
+k AS (SELECT r.doc_id, r.toxic,
+             CAST(floor((n_max - n_c) / n_c) + CASE WHEN pos <= (n_max - n_c) % n_c THEN 1 ELSE 0 END AS BIGINT) AS copies
+      FROM r JOIN cls USING (toxic) CROSS JOIN m)
+SELECT doc_id, toxic, lang, source, size_class, CAST(0 AS BIGINT) AS copy_id FROM d
+UNION ALL
+SELECT k.doc_id, k.toxic, modes.lang, modes.source, modes.size_class, CAST(unnest(range(1, copies + 1)) AS BIGINT)
+FROM k JOIN modes ON modes.doc_id = k.doc_id WHERE copies > 0
+""")
+def oversample_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents, the toxic class raised by rows made from its nearest neighbours."""
+    doc = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.expr(_SIZE_CLASS).alias("size_class"))
+    lab = table(spark, sf_dir, "labels").select("doc_id", "toxic").join(doc, "doc_id")
+    return R.oversample_neighbours(materialize(lab), "toxic", "doc_id", NOMINAL)
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key and label alone: what splits and folds rank."""
     return table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -72,3 +73,11 @@ def materialize(df):
     (``spark.checkpoint.dir``), for frames that several fit jobs read."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df, name):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it
+    back: the lineage is cut, and every reader sees the same rows."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

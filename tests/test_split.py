@@ -46,3 +46,35 @@ def test_sample_n(spark):
     s = S.sample_n(_frame(spark), 50, "id")
     assert s.count() == 50 and s.select("id").distinct().count() == 50
     assert S.sample_n(_frame(spark, 10), 50, "id").count() == 10
+
+
+def test_many_classes_equal_the_small_allocation(spark):
+    # as many classes as rows in some, NULL among them
+    df = spark.range(4000).select("id", F.when(F.col("id") % 7 > 0, (F.col("id") * F.col("id")) % 1009).alias("cls"))
+    sizes = {r["cls"]: r["count"] for r in df.groupBy("cls").count().collect()}
+    assert len(sizes) > 400
+    out = S.stratified_split(df, "id", "cls", 0.3, 7)
+    got = {r["cls"]: r["n"] for r in out.groupBy("cls").agg(F.count_if("is_test").alias("n")).collect()}
+    assert got == S.allocate(sizes, 0.3)
+
+
+def test_boundary_equals_ranking(spark, monkeypatch):
+    import hashlib
+
+    monkeypatch.setattr(S, "SMALL", 3)  # several rounds
+    monkeypatch.setattr(S, "BITS", 4)
+    df = spark.range(3000).select(F.col("id"), F.when(F.col("id") < 2900, "hot").otherwise("cold").alias("cls"))
+    test = {r["id"] for r in S.stratified_split(df, "id", "cls", 0.25, 1).where("is_test").collect()}
+    want = set()
+    for ids, k in ((range(2900), 725), (range(2900, 3000), 25)):
+        want |= set(sorted(ids, key=lambda i: (hashlib.md5(f"1:{i}".encode()).hexdigest(), i))[:k])
+    assert test == want
+    assert {r["id"] for r in S.random_split(df, "id", 0.25, 1).where("is_test").collect()} == set(
+        sorted(range(3000), key=lambda i: (hashlib.md5(f"1:{i}".encode()).hexdigest(), i))[:750])
+
+
+def test_split_of_an_empty_table_and_plan(spark):
+    df = _frame(spark)
+    assert S.stratified_split(df.limit(0), "id", "cls", 0.25).count() == 0
+    plan = S.stratified_split(df, "id", "cls", 0.25)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
