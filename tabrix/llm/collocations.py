@@ -23,7 +23,7 @@ Windows that begin with hot words go by their prefix up to the first other word,
 no prefix fills a partition. Phrases of hot words alone are then spread over
 partitions and added at the end. Equal windows are one entry of a task's trie, so a
 passage repeated a billion times is not a hot key either. Joins on phrases, words
-and languages go through ``keyed.join_unique``.
+and languages go through ``operators.keyed.join_unique``.
 
 Edge cases: NULL text is empty, NULL language is ``und``; a text of any length is
 read in slices; repeated rows count as often as they occur; ties in score and count
@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabrix.llm.common import staged, texts_of
-from tabrix.llm.keyed import join_unique
+from tabrix.operators.keyed import join_unique
 from tabrix.session import shuffle_partitions
 
 #: Most words that are broadcast, and the longest such word (with its language) in bytes.

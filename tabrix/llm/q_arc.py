@@ -16,8 +16,8 @@ def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     secure = F.coalesce(F.col("url").startswith("https:"), F.lit(False))
     arc.write_arc(pages.where(~secure), f"{legacy}/v1", 1)
     arc.write_arc(pages.where(secure), f"{legacy}/v2", 2)
-    arc.write_warc(arc.mark_revisits(arc.read_arc(spark, legacy)), archive)
-    back = staged(arc.read_warc(spark, archive), "warc-index")
+    arc.write_warc(arc.mark_revisits(arc.read_arc(spark, legacy, info=True)), archive)
+    back = staged(arc.read_warc(spark, archive).where("record_type != 'warcinfo'"), "warc-index")
     named = back.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("first"))
     out = back.join(named, "refers_to", "left")
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("first").alias("refers_to"))

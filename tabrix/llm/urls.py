@@ -17,7 +17,7 @@ host's standing in the link graph decides:
 4. A host is blocked if its distrust exceeds its trust by ``MARGIN``.
 
 Hot hosts: a host with a third of all pages or links is summed map-side, and the
-joins go through ``keyed.join_unique``, which broadcasts the few hot rows.
+joins go through ``operators.keyed.join_unique``, which broadcasts the few hot rows.
 
 Edge cases: a URL that is NULL or has no ``://`` has an empty host and path, fits
 no rule and is allowed; NULL HTML has no links; links of a host to itself and
@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabrix.llm.common import ascii_lower, fresh, scratch_path, staged
-from tabrix.llm.keyed import hot_keys, join_unique
+from tabrix.operators.keyed import hot_keys, join_unique
 
 DAMPING = 0.85
 ROUNDS = 40

@@ -14,7 +14,7 @@ are equal on this grid are one *point* with a multiplicity.
 4. Each point is whitened once: projected on the unit eigenvectors and divided by
    the roots of the eigenvalues. A second centred GEMM over the result measures how
    far its covariance is from the identity.
-5. The rows get their point's values back by ``keyed.join_unique`` on a SHA-256
+5. The rows get their point's values back by ``operators.keyed.join_unique`` on a SHA-256
    digest of the point, so a vector that fills a third of the table fills no task.
 
 Edge cases: vectors that are NULL, hold NULL, NaN or an infinite entry, or an
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabrix.llm.common import fresh, staged
-from tabrix.llm.keyed import join_unique
+from tabrix.operators.keyed import join_unique
 
 SCALE, OFFSET = 64, 1_000_000
 #: Eigenvalues below this share of the largest are no variance.
