@@ -10,7 +10,7 @@ payloads into revisits of the first; ``write_warc`` and ``read_warc`` store and
 parse the WARC records.
 
 Archives are read whether they are plain, one gzip stream, or compressed record by
-record (members are read until the file ends). They are written record by record,
+record (members are read until the file ends). WARC is written record by record,
 so that each can be reached alone, by Spark's text writer: its commit protocol
 covers lost executors. A member ends with the length of its record, whose last
 byte is zero under 16 MB, and longer records are followed by an empty member; that
@@ -34,7 +34,7 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,20 +73,41 @@ def member(record: bytes) -> bytes:
     return pack(record) if len(record) < 1 << 24 else pack(record) + pack(b"")
 
 
-def unpack(content: bytes) -> bytes:
-    """All members of a gzip file one after the other; a plain file as it is."""
+def members(content: bytes) -> Iterator[bytes]:
+    """What each member of a gzip file holds; a plain file as it is."""
     if content[:2] != b"\x1f\x8b":
-        return content
-    out = []
-    while content[:2] == b"\x1f\x8b":
-        z = zlib.decompressobj(31)
-        out.append(z.decompress(content))
-        if not z.eof:
-            raise ValueError("the file ends inside a gzip member")
-        content = z.unused_data
-    if content.strip(b"\0"):
-        raise ValueError(f"{len(content)} bytes after the last gzip member are none")
-    return b"".join(out)
+        yield content
+        return
+    at = 0
+    while content[at:at + 2] == b"\x1f\x8b":
+        z, out = zlib.decompressobj(31), []
+        while not z.eof:
+            piece = content[at:at + (1 << 16)]
+            if not piece:
+                raise ValueError("the file ends inside a gzip member")
+            out.append(z.decompress(piece))
+            at += len(piece)
+        at -= len(z.unused_data)
+        yield b"".join(out)
+    if content[at:].strip(b"\0"):
+        raise ValueError(f"{len(content) - at} bytes after the last gzip member are none")
+
+
+def _parsed(pieces: Iterator[bytes], parse: Callable[[bytes, int, int], tuple | None]) -> Iterator[tuple]:
+    """The records of a file that comes in pieces.
+
+    ``parse(raw, at, offset)`` gives (record, end) of the record at ``at``, or None
+    if more bytes are needed; ``offset`` is the place in the file of the first byte.
+    """
+    raw, at, offset = b"", 0, 0
+    for piece in pieces:
+        raw, offset, at = raw[at:] + piece, offset + at, 0
+        while at < len(raw) and (found := parse(raw, at, offset)):
+            record, at = found
+            if record is not None:
+                yield record
+    if raw[at:].strip(b"\r\n\0 "):
+        raise ValueError(f"the record at byte {offset + at} declares more than the {len(raw) - at} bytes that are left")
 
 
 def _write_members(records: DataFrame, path: str) -> None:
@@ -101,7 +122,7 @@ def _line(version: int, url: str, date: str, media: str, name: str, length: int)
     return f"{url} 0.0.0.0 {date} {media} 200 - - 0 {name} {length}\n"
 
 
-def _write_arc(version: int, date: str):
+def _write_arc(version: int, date: str, by_record: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, n = "", 0
         for batch in batches:
@@ -113,48 +134,64 @@ def _write_arc(version: int, date: str):
                     name = f"pages-{uuid.uuid4().hex}.arc"
                     fields = f"{version} 0 tabrix\n{FIELDS[version]}\n"
                     tail = f" 200 - - 0 {name}" if version == 2 else ""
-                    head = member(f"filedesc://{name} 0.0.0.0 {date} text/plain{tail} {len(fields)}\n{fields}\n".encode())
+                    head = f"filedesc://{name} 0.0.0.0 {date} text/plain{tail} {len(fields)}\n{fields}\n".encode()
                 n += 1
                 url = re.sub(r"[\x00-\x20\x7f-\xa0]", lambda m: "".join(f"%{b:02X}" for b in m[0].encode()), url or "-")
                 body = body or b""
                 block = ("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
                          f"X-Page-Id: {'' if page is None else page}\r\nContent-Length: {len(body)}\r\n\r\n").encode() + body
-                out.append((head + member(_line(version, url, date, "text/html", name, len(block)).encode() + block + b"\n"))[:-1])
+                record = _line(version, url, date, "text/html", name, len(block)).encode() + block
+                if by_record:
+                    out.append(((member(head) if head else b"") + member(record + b"\n"))[:-1])
+                else:
+                    out.append(head + record)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
     return run
 
 
 def write_arc(pages: DataFrame, path: str, version: int, page_id: str = "page_id", url: str = "url", html: str = "html",
-              date: str = "20000101000000") -> None:
-    """Write ``pages`` (``html`` as text or bytes) as ARC files, compressed record by record."""
+              date: str = "20000101000000", by_record: bool = False) -> None:
+    """Write ``pages`` (``html`` as text or bytes) as ARC files, gzipped as a whole or record by record."""
     rows = pages.select(F.col(page_id).cast("long"), url, F.col(html).cast("binary"))
-    _write_members(rows.mapInArrow(_write_arc(version, date), "value binary"), path)
+    rows = rows.mapInArrow(_write_arc(version, date, by_record), "value binary")
+    if by_record:
+        _write_members(rows, path)
+    else:
+        text = rows.select(F.col("value").cast("string").alias("value")).write.option("maxRecordsPerFile", FILE_RECORDS)
+        text.option("compression", "gzip").option("lineSep", "\n").text(path)
 
 
-def _arc_records(raw: bytes) -> Iterator[tuple[dict[str, str], int, bytes]]:
+def _arc_records(raw: bytes | Iterator[bytes]) -> Iterator[tuple[dict[str, str], int, bytes]]:
     """(fields, offset, block) of each record of one ARC file."""
-    at, names = 0, FIELDS[1].split()
-    while at < len(raw):
-        end = raw.index(b"\n", at)
+    names = FIELDS[1].split()
+
+    def parse(raw: bytes, at: int, offset: int) -> tuple | None:
+        nonlocal names
+        end = raw.find(b"\n", at)
+        if end < 0:
+            return None
         line = _text(raw[at:end])
         if not line.strip():  # between records
-            at = end + 1
-            continue
-        if at == 0 and line.startswith("filedesc://"):
+            return None, end + 1
+        known = names
+        if offset + at == 0 and line.startswith("filedesc://"):
             # the version block says how this and all later lines are laid out
             size = int(line.rsplit(" ", 1)[1])
-            names = raw[end + 1: end + 1 + size].decode().split("\n")[1].split()
-        parts = line.rsplit(" ", len(names) - 1)
-        if len(parts) != len(names):
-            raise ValueError(f"ARC line at byte {at} has {len(parts)} fields, not {len(names)}: {line[:200]!r}")
-        fields = dict(zip(names, parts, strict=True))
-        size = int(fields["Archive-length"])
-        block = raw[end + 1: end + 1 + size]
-        if len(block) < size:
-            raise ValueError(f"ARC record at byte {at} declares {size} bytes, {len(block)} are left")
-        yield fields, at, block
-        at = end + 1 + size
+            if len(raw) < end + 1 + size:
+                return None
+            known = raw[end + 1: end + 1 + size].decode().split("\n")[1].split()
+        parts = line.rsplit(" ", len(known) - 1)
+        if len(parts) != len(known):
+            raise ValueError(f"ARC line at byte {offset + at} has {len(parts)} fields, not {len(known)}: {line[:200]!r}")
+        fields = dict(zip(known, parts, strict=True))
+        stop = end + 1 + int(fields["Archive-length"])
+        if len(raw) < stop:
+            return None
+        names = known
+        return (fields, offset + at, raw[end + 1: stop]), stop
+
+    return _parsed(iter([raw]) if isinstance(raw, bytes) else raw, parse)
 
 
 def _text(raw: bytes) -> str:
@@ -206,7 +243,7 @@ def _convert(info: bool):
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 out = []
-                for fields, at, block in _arc_records(unpack(content)):
+                for fields, at, block in _arc_records(members(content)):
                     row = _record(path, fields, at, block)
                     if info or row[1] != "warcinfo":
                         out.append(row)
@@ -281,20 +318,23 @@ def write_warc(records: DataFrame, path: str) -> None:
     _write_members(raw.mapInArrow(_compress, "value binary"), path)
 
 
-def _warc_records(raw: bytes) -> Iterator[tuple[str, bytes]]:
+def _warc_records(raw: bytes | Iterator[bytes]) -> Iterator[tuple[str, bytes]]:
     """(header lines, block) of each record of one WARC file."""
-    at = 0
-    while at < len(raw):
+
+    def parse(raw: bytes, at: int, offset: int) -> tuple | None:
+        if raw[at:at + 2] == b"\r\n":  # between records
+            return None, at + 2
         end = raw.find(b"\r\n\r\n", at)
-        head = _text(raw[at:max(end, at)])
+        if end < 0:
+            return None
+        head = _text(raw[at:end])
         size = _header(head, "Content-Length")
         if not head.startswith("WARC/") or size is None:
-            raise ValueError(f"no WARC record at byte {at}")
-        block = raw[end + 4: end + 4 + int(size)]
-        if len(block) < int(size):
-            raise ValueError(f"WARC record at byte {at} declares {size} bytes, {len(block)} are left")
-        yield head, block
-        at = end + 4 + int(size) + 4
+            raise ValueError(f"no WARC record at byte {offset + at}")
+        stop = end + 4 + int(size)
+        return ((head, raw[end + 4:stop]), stop) if len(raw) >= stop else None
+
+    return _parsed(iter([raw]) if isinstance(raw, bytes) else raw, parse)
 
 
 def _index_row(head: str, block: bytes) -> tuple:
@@ -316,7 +356,12 @@ def _index_row(head: str, block: bytes) -> tuple:
 def _parse_warc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch.column(1).to_pylist():
-            rows = [_index_row(head, block) for head, block in _warc_records(unpack(content))]
+            rows = []
+            for head, block in _warc_records(members(content)):
+                rows.append(_index_row(head, block))
+                if len(rows) >= 5000:
+                    yield _batch(rows, _WARC)
+                    rows = []
             if rows:
                 yield _batch(rows, _WARC)
 
