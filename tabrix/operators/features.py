@@ -6,12 +6,14 @@ target; MLlib stages are provided for model pipelines.
 * one-hot: vocabulary = sorted distinct values per column (positions from
   ``prefix.row_positions``, no per-column gathering); unseen / NULL -> no index
   (all-zero block).
-* TF-IDF: tokens ``[\\p{L}\\p{N}_]{2,}`` of the lower-cased text (the pattern
+* TF-IDF: a document's terms are counted inside its row (``document_terms``), and
+  that table, written once, feeds vocabulary and weights. Tokens ``[\\p{L}\\p{N}_]{2,}`` of the lower-cased text (the pattern
   ``\\b\\w\\w+\\b`` with Unicode word characters), uni- and bigrams built after
   tokenising, ``min_df`` (count), ``max_df`` (share), the ``max_features``
   most frequent terms (ties: term ascending), smooth idf ``ln((1+n)/(1+df))+1``,
   raw counts x idf, L2-normalised per document. The vocabulary is a bounded
-  top-k (broadcast), every other step is a shuffle on (doc, term) or term.
+  top-k (broadcast); terms are shuffled once for the vocabulary (summed map-side)
+  and the kept ones once by document.
 * scalers: one aggregate (or one exact-quantile plan) -> literals.
 """
 
@@ -24,9 +26,10 @@ from pyspark.sql import functions as F
 
 from tabrix.functions.nulls import is_numeric_type, quoted
 from tabrix.functions.text import combine_columns
-from tabrix.session import shuffle_partitions
+from tabrix.operators.parallel import spread
 from tabrix.operators.prefix import row_positions
 from tabrix.operators.stats import exact_quantiles
+from tabrix.session import written
 
 TFIDF_TOKEN = r"[\p{L}\p{N}_]{2,}"
 
@@ -72,10 +75,13 @@ def _long_values(df: DataFrame, cols: Sequence[str], key: str | None) -> DataFra
         for c in cols])).alias("s")).select(*([key] if key else []), "s.column_name", "s.category")
 
 
-def fit_one_hot(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def fit_one_hot(df: DataFrame, cols: Sequence[str], categories: DataFrame | None = None) -> DataFrame:
     """Vocabulary rows ``(column_name, category, category_index)`` (0-based,
-    categories sorted ascending; NULL is not a category)."""
-    distinct = _long_values(df, cols, None).where(F.col("category").isNotNull()).distinct()
+    categories sorted ascending; NULL is not a category). ``categories`` may hold
+    the distinct ``(column_name, category)`` rows if they are known already."""
+    if categories is None:
+        categories = _long_values(df, cols, None).where(F.col("category").isNotNull()).distinct()
+    distinct = categories.select("column_name", "category")
     keyed = distinct.withColumn("__sk", string_order_key(F.col("category")))
     pos = row_positions(keyed, ["__sk", "category"], ["column_name"], out="__pos")
     return pos.select("column_name", "category", (F.col("__pos") - 1).cast("int").alias("category_index"))
@@ -90,17 +96,10 @@ def one_hot_long(df: DataFrame, key: str, cols: Sequence[str], vocab: DataFrame)
 
 
 def one_hot_stages(cols: Sequence[str], suffix: str = "_ohe"):
-    """MLlib stages: alphabetical ``StringIndexer`` (unseen/NULL kept as an extra
-    index) + ``OneHotEncoder(dropLast=True)`` so that index is all zeros."""
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    """Pipeline stages: one vector block per column, all zeros for unseen and NULL values."""
+    from tabrix.operators.stages import CategoryStage
 
-    idx = [f"{c}__idx" for c in cols]
-    return [
-        StringIndexer(inputCols=list(cols), outputCols=idx, handleInvalid="keep",
-                      stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=idx, outputCols=[f"{c}{suffix}" for c in cols], dropLast=True,
-                      handleInvalid="keep"),
-    ]
+    return [CategoryStage(inputCols=list(cols), outputCols=[f"{c}{suffix}" for c in cols])]
 
 
 # -- TF-IDF -----------------------------------------------------------------
@@ -123,31 +122,38 @@ def with_terms(df: DataFrame, text_col: str, out: str = "terms", ngram_max: int
     return grams.withColumn(out, F.concat("__tok", "__bi")).drop("__tok", "__bi")
 
 
-def term_counts(df: DataFrame, key: str, text_col: str, ngram_max: int = 2) -> DataFrame:
-    """``(key, term, tf)``: raw counts per document.
+def document_terms(df: DataFrame, key: str, text_col: str, ngram_max: int = 2) -> DataFrame:
+    """``(key, terms)``: the distinct terms of each row with their counts, ``array<struct<term, tf>>``.
 
-    The narrow ``(key, text)`` rows are hash-partitioned by ``key`` once: the
-    ``(key, term)`` count then runs inside that stage (no shuffle of the
-    exploded n-grams, which are larger than the text), and the result stays
-    partitioned by ``key`` for the per-document norm window.
+    All inside the row: terms are sorted, and the starts of equal runs give the
+    counts, so nothing is shuffled. Both passes over ``terms`` are cheap once the
+    table is written.
     """
-    n = shuffle_partitions(df.sparkSession)
-    narrow = df.select(quoted(key), quoted(text_col)).repartition(n, quoted(key))
-    # explode_outer + filter: a plain explode makes the optimiser infer a
-    # size(terms) > 0 filter and push it (and the whole tokenisation) below
-    # the repartition into the scan stage.
-    return with_terms(narrow, text_col, "__terms", ngram_max) \
-        .select(quoted(key), F.explode_outer("__terms").alias("term")) \
-        .where(F.col("term").isNotNull()) \
-        .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    narrow = spread(df.select(quoted(key), quoted(text_col)))
+    # lambdas bind the sorted terms and the starts, which are then computed once
+    let = lambda value, body: F.transform(F.array(value), body)[0]
+    starts = lambda s: F.filter(F.transform(s, lambda t, i: F.when((i == 0) | (F.get(s, i - 1) != t), i)),
+                                lambda i: i.isNotNull())
+    runs = lambda s, at: F.transform(at, lambda i, k: F.struct(
+        F.get(s, i).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).cast("long").alias("tf")))
+    terms = let(F.sort_array("__terms"), lambda s: let(starts(s), lambda at: runs(s, at)))
+    return with_terms(narrow, text_col, "__terms", ngram_max).select(quoted(key), terms.alias("terms"))
+
+
+def term_counts(terms: DataFrame, key: str) -> DataFrame:
+    """``(key, term, tf)`` rows of a ``document_terms`` table."""
+    return terms.select(quoted(key), F.explode("terms").alias("t")).select(quoted(key), "t.term", "t.tf")
 
 
 def fit_tfidf(df: DataFrame, key: str, text_col: str, max_features: int | None = 4000,
-              min_df: int = 2, max_df: float = 0.95, ngram_max: int = 2) -> DataFrame:
-    """Vocabulary ``(term, df, cf, idf)``; at most ``max_features`` rows."""
-    tf = term_counts(df, key, text_col, ngram_max)
+              min_df: int = 2, max_df: float = 0.95, ngram_max: int = 2, terms: DataFrame | None = None) -> DataFrame:
+    """Vocabulary ``(term, df, cf, idf)``; at most ``max_features`` rows.
+
+    ``terms``: the ``document_terms`` of ``df``, if they are written already.
+    """
+    terms = document_terms(df, key, text_col, ngram_max) if terms is None else terms
     n_docs = df.agg(F.count(F.lit(1)).alias("__n"))
-    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    stats = term_counts(terms, key).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     from tabrix.operators.drift import one_row_join
 
     stats = one_row_join(stats, n_docs)
@@ -160,13 +166,21 @@ def fit_tfidf(df: DataFrame, key: str, text_col: str, max_features: int | None =
 
 
 def tfidf_long(df: DataFrame, key: str, text_col: str, vocab: DataFrame,
-               ngram_max: int = 2) -> DataFrame:
+               ngram_max: int = 2, terms: DataFrame | None = None) -> DataFrame:
     """``(key, term, tfidf)`` for vocabulary terms; L2 norm 1 per document."""
-    tf = term_counts(df, key, text_col, ngram_max)
+    terms = document_terms(df, key, text_col, ngram_max) if terms is None else terms
     v = F.broadcast(vocab.select("term", "idf"))  # bounded by max_features
-    w = tf.join(v, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
-    return w.select(key, "term", (F.col("w") / norm).alias("tfidf"))
+    w = term_counts(terms, key).join(v, "term").select(quoted(key), "term", (F.col("tf") * F.col("idf")).alias("w"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(quoted(key))))
+    return w.select(quoted(key), "term", (F.col("w") / norm).alias("tfidf"))
+
+
+def tfidf(df: DataFrame, key: str, text_col: str, max_features: int | None = 4000, min_df: int = 2,
+          max_df: float = 0.95, ngram_max: int = 2) -> DataFrame:
+    """Vocabulary and weights from one reading of the texts: ``(key, term, tfidf)``."""
+    terms = written(document_terms(df, key, text_col, ngram_max), "document-terms")
+    vocab = written(fit_tfidf(terms, key, text_col, max_features, min_df, max_df, ngram_max, terms), "tfidf-vocabulary")
+    return tfidf_long(df, key, text_col, vocab, ngram_max, terms)
 
 
 def tfidf_stages(text_col: str, out: str = "tfidf", max_features: int = 4000, min_df: float = 2.0,
@@ -188,7 +202,7 @@ def tfidf_stages(text_col: str, out: str = "tfidf", max_features: int = 4000, mi
         merge = SQLTransformer(statement=f"SELECT *, concat(`{out}__tok`, `{out}__bi`) AS "
                                          f"`{out}__terms` FROM __THIS__")
         stages, terms_col = [tok, bi, merge], f"{out}__terms"
-    return [*stages, TfidfStage(terms_col, out, max_features, int(min_df), max_df)]
+    return [*stages, TfidfStage(inputCol=terms_col, outputCol=out, maxFeatures=max_features, minDF=int(min_df), maxDF=float(max_df))]
 
 
 # -- scalers ----------------------------------------------------------------

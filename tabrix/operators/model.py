@@ -7,6 +7,9 @@
   from the grid, cross-validation on a stratified ``foldCol`` (exact folds
   from ``split.stratified_kfold``; feature stages fitted once per fold),
   ROC-AUC, refit of the best.
+* ``search_candidates``: the same over several learners and scalers. The feature
+  stages are fitted once per fold for all of them, each scaler once per fold, and
+  only the learner per parameter map.
 * ``search_summary`` / ``select_best``: scores as DataFrames.
 
 Algorithms: logistic regression, random forest, gradient-boosted trees (the
@@ -15,8 +18,10 @@ role of the reference's boosted trees; numbers are not meant to be identical).
 
 from __future__ import annotations
 
+import itertools
 import random
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,26 +47,17 @@ def estimator(name: str, params: Mapping | None = None, label: str = "label",
 
 
 def scaler_stage(kind: str, inp: str, out: str):
-    """Exact for standard and minmax; robust uses MLlib's approximate quantiles."""
-    from pyspark.ml.feature import RobustScaler
-
+    """The scales of ``features.fit_scaler`` as a pipeline stage; none: no stage."""
     from tabrix.operators.stages import ScaleStage
 
-    if kind in ("standard", "minmax"):
-        return ScaleStage(kind, inp, out)
-    if kind == "robust":
-        return RobustScaler(inputCol=inp, outputCol=out, withCentering=True, withScaling=True)
-    if kind == "none":
-        return None
-    raise FeatureError(f"no scaling is called {kind!r}")
+    if kind not in SCALERS:
+        raise FeatureError(f"no scaling is called {kind!r}")
+    return None if kind == "none" else ScaleStage(kind=kind, inputCol=inp, outputCol=out)
 
 
-def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], text: str | None,
-                   algorithm: str, params: Mapping | None = None, scaler: str = "none",
-                   label: str = "label", tfidf_max_features: int = 4000, seed: int = 42,
-                   text_terms: str | None = None):
-    from pyspark.ml import Pipeline
-
+def feature_stages(numeric: Sequence[str], categorical: Sequence[str], text: str | None,
+                   tfidf_max_features: int = 4000, text_terms: str | None = None) -> list:
+    """The stages up to ``raw_features``."""
     stages, blocks = [], list(numeric)
     if categorical:
         stages += one_hot_stages(categorical)
@@ -69,16 +65,25 @@ def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], text: str
     if text:
         stages += tfidf_stages(text, "text_tfidf", tfidf_max_features, terms_col=text_terms)
         blocks.append("text_tfidf")
-    stages.append(assemble(blocks, "raw_features"))
+    return [*stages, assemble(blocks, "raw_features")]
+
+
+def scaled_stage(scaler: str):
+    """The stage from ``raw_features`` to ``features``."""
+    from pyspark.ml.feature import SQLTransformer
+
     sc = scaler_stage(scaler, "raw_features", "features")
-    if sc is None:
-        from pyspark.ml.feature import SQLTransformer
+    return sc or SQLTransformer(statement="SELECT *, raw_features AS features FROM __THIS__")
 
-        stages.append(SQLTransformer(statement="SELECT *, raw_features AS features FROM __THIS__"))
-    else:
-        stages.append(sc)
-    stages.append(estimator(algorithm, params, label, "features", seed))
-    return Pipeline(stages=stages)
+
+def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], text: str | None,
+                   algorithm: str, params: Mapping | None = None, scaler: str = "none",
+                   label: str = "label", tfidf_max_features: int = 4000, seed: int = 42,
+                   text_terms: str | None = None):
+    from pyspark.ml import Pipeline
+
+    stages = feature_stages(numeric, categorical, text, tfidf_max_features, text_terms)
+    return Pipeline(stages=[*stages, scaled_stage(scaler), estimator(algorithm, params, label, "features", seed)])
 
 
 def param_grid(pipeline, grid: Mapping[str, Sequence]):
@@ -143,6 +148,108 @@ def search(train: DataFrame, pipeline, grid: Mapping[str, Sequence], label: str
     return CrossValidatorModel(best_model, avg, None, std), maps
 
 
+@dataclass(frozen=True)
+class Candidate:
+    """A learner with fixed ``params``, a ``grid`` of further ones, and the scalers to try."""
+
+    algorithm: str
+    params: Mapping = field(default_factory=dict)
+    grid: Mapping = field(default_factory=dict)
+    scalers: tuple[str, ...] = ("none",)
+
+    def draws(self, n_iter: int | None, seed: int) -> list[tuple[str, dict]]:
+        """(scaler, params) of the whole grid, or ``n_iter`` of them drawn without replacement."""
+        names = sorted(self.grid)
+        every = [(s, {**self.params, **dict(zip(names, v, strict=True))})
+                 for s in self.scalers for v in itertools.product(*(self.grid[n] for n in names))]
+        return every if n_iter is None or n_iter >= len(every) else random.Random(seed).sample(every, n_iter)
+
+
+@dataclass
+class CandidateSearch:
+    """``scores``: a row per candidate and fold, and which candidate is selected; ``folds``: a row per fold."""
+
+    model: object
+    pipeline: object
+    scores: DataFrame
+    folds: DataFrame
+
+
+def search_candidates(train: DataFrame, candidates: Sequence[Candidate], features: Sequence, label: str = "label",
+                      key: str | None = None, fold_col: str = "fold", num_folds: int = 5, n_iter: int | None = None,
+                      seed: int = 42, parallelism: int = 2) -> CandidateSearch:
+    """Cross-validated search over learners, scalers and their parameters.
+
+    ``features`` are the stages up to ``raw_features`` (``feature_stages``). In each
+    fold they are fitted once on the fold's training rows, each scaler once on top,
+    and the learners ``parallelism`` at a time. Score: mean area under the ROC curve
+    over the folds. The first of the best candidates wins, and is refitted as a
+    whole pipeline on all of ``train``. ``folds`` counts the rows that were fitted
+    and held out, with the sum of the held-out ``key``.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import StorageLevel
+    from pyspark.ml import Pipeline
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    tries = [(c.algorithm, scaler, params) for c in candidates for scaler, params in c.draws(n_iter, seed)]
+    if not tries:
+        raise ValueError("nothing to search: no candidate")
+    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0)
+    scores = [[0.0] * num_folds for _ in tries]
+    sizes = []
+    for k in range(num_folds):
+        fit_rows, held_rows = train.where(F.col(fold_col) != k), train.where(F.col(fold_col) == k)
+        fitted = Pipeline(stages=list(features)).fit(fit_rows)
+        cols = [label, "raw_features"]
+        fit_raw = fitted.transform(fit_rows).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+        held_raw = fitted.transform(held_rows).select(*cols, *([key] if key else [])).persist(StorageLevel.MEMORY_AND_DISK)
+        key_sum = F.sum(F.col(key).cast("decimal(38,0)")) if key else F.lit(None).cast("decimal(38,0)")
+        held, keys = held_raw.agg(F.count(F.lit(1)), key_sum).first()
+        sizes.append((k, fit_raw.count(), held, None if keys is None else int(keys)))
+        for scaler in dict.fromkeys(s for _, s, _ in tries):
+            stage = scaled_stage(scaler)
+            stage = stage.fit(fit_raw) if hasattr(stage, "fit") else stage
+            fit_x = stage.transform(fit_raw).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
+            held_x = stage.transform(held_raw).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
+
+            def run(i, k=k, fit_x=fit_x, held_x=held_x):
+                algorithm, _, params = tries[i]
+                scores[i][k] = ev.evaluate(estimator(algorithm, params, label, "features", seed).fit(fit_x).transform(held_x))
+
+            mine = [i for i, t in enumerate(tries) if t[1] == scaler]
+            with ThreadPoolExecutor(max(1, min(parallelism, len(mine)))) as pool:
+                list(pool.map(run, mine))
+            fit_x.unpersist()
+            held_x.unpersist()
+        fit_raw.unpersist()
+        held_raw.unpersist()
+    mean = [sum(s) / num_folds for s in scores]
+    best = max(range(len(tries)), key=lambda i: (mean[i], -i))
+    algorithm, scaler, params = tries[best]
+    pipeline = Pipeline(stages=[*features, scaled_stage(scaler), estimator(algorithm, params, label, "features", seed)])
+    spark = train.sparkSession
+    text = lambda p: ", ".join(f"{k}={v}" for k, v in sorted(p.items()))
+    table = spark.createDataFrame(
+        [(i, a, s, text(p), k, float(scores[i][k]), float(mean[i]), i == best) for i, (a, s, p) in enumerate(tries) for k in range(num_folds)],
+        "candidate int, algorithm string, scaler string, params string, fold int, auc double, mean_auc double, selected boolean")
+    folds = spark.createDataFrame(sizes, "fold int, n_fit bigint, n_held bigint, held_key_sum bigint")
+    return CandidateSearch(pipeline.fit(train), pipeline, table, folds)
+
+
+def feature_importances(model) -> DataFrame:
+    """``(slot, importance)`` of a fitted pipeline whose learner is a tree ensemble (as many rows as features)."""
+    from pyspark.sql import SparkSession
+
+    learner = model.stages[-1]
+    if not hasattr(learner, "featureImportances"):
+        raise ValueError(f"{type(learner).__name__} has no feature importances")
+    v = learner.featureImportances
+    rows = [(int(i), float(x)) for i, x in zip(v.indices, v.values, strict=True)] if hasattr(v, "indices") else list(enumerate(map(float, v)))
+    return SparkSession.getActiveSession().createDataFrame(rows, "slot int, importance double")
+
+
 def search_summary(spark, cv_model, maps, algorithm: str) -> DataFrame:
     """Rows ``(algorithm, candidate, params, cv_score)``; params stringified."""
     rows = []

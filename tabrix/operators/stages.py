@@ -1,11 +1,21 @@
-"""Pipeline stages that weigh and scale exactly as the relational operators do.
-
-``TfidfStage`` fits the vocabulary of ``fit_tfidf`` (corpus count descending,
-then term) and gives smoothed idf and rows of L2 norm 1. ``ScaleStage`` divides
-by the population deviation (``standard``) or maps to the value range
-(``minmax``); a constant feature keeps its scale. Both are fitted inside each
-cross-validation fold. At most ``max_features`` terms and one number per
-feature reach the driver.
+"""Pipeline stages that encode, weigh and scale exactly as the relational operators do.
+
+* ``CategoryStage`` fits the vocabulary of ``fit_one_hot`` as a table in the shared
+  folder; only its size per column reaches the driver. Rows find their index in two
+  steps: the ``NEAR`` most frequent categories of a column are a broadcast join, and
+  only rows with a value that is not among them are shuffled to the rest of the
+  vocabulary. So hot values are not shuffled, and a column may have any number of
+  categories. Unseen and NULL values get an all-zero block.
+* ``TfidfStage`` fits the vocabulary of ``fit_tfidf`` (corpus count descending,
+  then term) and gives smoothed idf and rows of L2 norm 1.
+* ``ScaleStage`` divides by the population deviation (``standard``), maps to the
+  value range (``minmax``) or centres on the median and divides by the interquartile
+  range (``robust``, exact order statistics of the entries that are not zero, with
+  the zeros counted in); a constant feature keeps its scale. Features whose centres
+  are all zero stay sparse.
+
+All are fitted inside each cross-validation fold, and can be saved unfitted or
+fitted. At most ``max_features`` terms and a few numbers per feature reach the driver.
 """
 
 from __future__ import annotations
@@ -13,52 +23,170 @@ from __future__ import annotations
 import math
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, PipelineModel, Transformer
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml import Estimator, Model, PipelineModel, Transformer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, OneHotEncoder
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol, HasOutputCols
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabrix.functions.nulls import quoted
+from tabrix.operators.stats import order_statistics, sketch
+from tabrix.session import scratch_path, written
+
+#: Categories of a column that are broadcast.
+NEAR = 1000
+
+
+class _Built:
+    """Sets the parameters that a constructor was given."""
+
+    def _build(self):
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+
+# -- categories -------------------------------------------------------------
+
+class _VocabularyWriter(DefaultParamsWriter):
+    def saveImpl(self, path: str) -> None:  # noqa: N802 - named by the library
+        super().saveImpl(path)
+        self.instance.table(self.sparkSession).write.parquet(f"{path}/vocabulary")
+
+
+class _VocabularyReader(DefaultParamsReader):
+    def load(self, path: str):
+        model = super().load(path)
+        return model._set(vocabulary=f"{path}/vocabulary")
+
+
+class CategoryIndexModel(Model, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable, _Built):
+    """Category to index; unseen and NULL values get the index after the last."""
+
+    vocabulary = Param(Params._dummy(), "vocabulary", "folder of the vocabulary table", TypeConverters.toString)
+    sizes = Param(Params._dummy(), "sizes", "categories per column", TypeConverters.toListInt)
+
+    @keyword_only
+    def __init__(self, inputCols=None, outputCols=None, vocabulary=None, sizes=None):
+        super().__init__()
+        self._build()
+
+    def table(self, spark) -> DataFrame:
+        return spark.read.parquet(self.getOrDefault("vocabulary"))
+
+    def write(self):
+        return _VocabularyWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _VocabularyReader(cls)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        table, names = self.table(df.sparkSession), df.columns
+        columns, outs, sizes = self.getInputCols(), self.getOutputCols(), self.getOrDefault("sizes")
 
+        def indexed(d: DataFrame, i: int, near: bool) -> DataFrame:
+            """``d`` with the index of column ``i`` from the near or the far part of its vocabulary."""
+            part = table.where((F.col("column_name") == columns[i]) & (F.col("place") <= NEAR if near else F.col("place") > NEAR))
+            part = part.select(F.col("category").alias("__category"), F.col("category_index").alias("__index"))
+            part = F.broadcast(part) if near else part  # near: at most NEAR rows
+            d = d.join(part, quoted(columns[i]).cast("string") == F.col("__category"), "left").drop("__category")
+            at = F.col("__index") if near else F.coalesce(f"__i{i}", "__index")
+            return d.withColumn(f"__i{i}", at).drop("__index")
 
-class TfidfStage(Estimator):
+        out = df
+        for i in range(len(columns)):
+            out = indexed(out, i, near=True)
+        far = [i for i, n in enumerate(sizes) if n > NEAR]
+        if far:
+            open_ = F.lit(False)
+            for i in far:
+                open_ = open_ | (F.col(f"__i{i}").isNull() & quoted(columns[i]).isNotNull())
+            rest = out.where(open_)
+            for i in far:
+                rest = indexed(rest, i, near=False)
+            out = out.where(~open_).unionByName(rest)
+        return out.select(*map(quoted, names), *[
+            F.coalesce(F.col(f"__i{i}"), F.lit(n)).cast("double").alias(o) for i, (o, n) in enumerate(zip(outs, sizes, strict=True))])
+
+
+class CategoryStage(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable, _Built):
+    """Sorted categories per column to one-hot vectors; ``outputCols`` are the vectors."""
+
+    @keyword_only
+    def __init__(self, inputCols=None, outputCols=None):
+        super().__init__()
+        self._build()
+
+    def _fit(self, df: DataFrame) -> PipelineModel:
+        from tabrix.operators.features import _long_values, fit_one_hot
+
+        columns, outs = self.getInputCols(), self.getOutputCols()
+        counts = written(_long_values(df, columns, None).where("category IS NOT NULL").groupBy("column_name", "category").agg(
+            F.count(F.lit(1)).alias("n")), "category-counts")
+        vocab = fit_one_hot(counts, columns, counts)
+        # which categories are near: a top-k per column, cut before the shuffle
+        order = Window.partitionBy("column_name").orderBy(F.desc("n"), "category")
+        top = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= NEAR)
+        placed = vocab.join(F.broadcast(top.select("column_name", "category", "place")), ["column_name", "category"], "left")
+        table = placed.withColumn("place", F.coalesce("place", F.lit(NEAR + 1)))
+        folder = scratch_path(df.sparkSession, "categories")
+        table.write.parquet(folder)
+        sizes = {r["column_name"]: r["n"] for r in counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+        # a column without any category has one that never occurs
+        sizes = [max(sizes.get(c, 0), 1) for c in columns]
+        index = [f"{o}__idx" for o in outs]
+        last = df.sparkSession.createDataFrame([tuple(float(n - 1) for n in sizes)], ", ".join(f"`{c}` double" for c in index))
+        blocks = OneHotEncoder(inputCols=index, outputCols=outs, dropLast=True, handleInvalid="keep").fit(last)
+        return PipelineModel([CategoryIndexModel(inputCols=columns, outputCols=index, vocabulary=folder, sizes=sizes), blocks])
+
+
+# -- terms ------------------------------------------------------------------
+
+class TfidfStage(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable, _Built):
     """Terms (array of strings) to L2-normed TF-IDF vectors."""
 
-    def __init__(self, terms: str, out: str, max_features: int = 4000, min_df: int = 2, max_df: float = 0.95):
+    maxFeatures = Param(Params._dummy(), "maxFeatures", "most frequent terms that are kept", TypeConverters.toInt)
+    minDF = Param(Params._dummy(), "minDF", "least number of documents of a term", TypeConverters.toInt)
+    maxDF = Param(Params._dummy(), "maxDF", "largest share of documents of a term", TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(self, inputCol=None, outputCol=None, maxFeatures=4000, minDF=2, maxDF=0.95):
         super().__init__()
-        self.terms, self.out, self.max_features, self.min_df, self.max_df = terms, out, max_features, min_df, max_df
+        self._build()
 
     def vocabulary(self, df: DataFrame) -> tuple[list, int]:
         n = df.count()
-        terms = F.coalesce(quoted(self.terms), F.array().cast("array<string>"))
-        cf = df.select(F.explode(terms).alias("term"), F.lit(1).alias("cf"), F.lit(0).alias("df"))
-        dfs = df.select(F.explode(F.array_distinct(terms)).alias("term"), F.lit(0).alias("cf"), F.lit(1).alias("df"))
-        stats = cf.unionByName(dfs).groupBy("term").agg(F.sum("cf").alias("cf"), F.sum("df").alias("df"))
-        kept = stats.where(F.col("term").isNotNull() & (F.col("df") >= self.min_df) & (F.col("df") <= self.max_df * n))
-        return kept.orderBy(F.desc("cf"), "term").limit(self.max_features).collect(), n
+        terms = F.coalesce(quoted(self.getInputCol()), F.array().cast("array<string>"))
+        # one pass: in a sorted document, a term's first occurrence counts the document
+        runs = F.transform(F.array(F.sort_array(F.filter(terms, lambda t: t.isNotNull()))), lambda s: F.transform(
+            s, lambda t, i: F.struct(t.alias("term"), F.when((i == 0) | (F.get(s, i - 1) != t), 1).otherwise(0).alias("first"))))[0]
+        stats = df.select(F.explode(runs).alias("t")).groupBy("t.term").agg(F.count(F.lit(1)).alias("cf"), F.sum("t.first").alias("df"))
+        kept = stats.where((F.col("df") >= self.getOrDefault("minDF")) & (F.col("df") <= self.getOrDefault("maxDF") * n))
+        return kept.orderBy(F.desc("cf"), "term").limit(self.getOrDefault("maxFeatures")).collect(), n
 
     def _fit(self, df: DataFrame) -> PipelineModel:
         from tabrix.operators.features import FeatureError
 
         rows, n = self.vocabulary(df)
         if not rows:
-            raise FeatureError(f"no term of {self.terms} is frequent enough for a vocabulary")
+            raise FeatureError(f"no term of {self.getInputCol()} is frequent enough for a vocabulary")
         idf = Vectors.dense([math.log((n + 1) / (r["df"] + 1)) + 1 for r in rows])
-        counts, weights = f"{self.out}__tf", f"{self.out}__w"
+        out = self.getOutputCol()
+        counts, weights = f"{out}__tf", f"{out}__w"
         return PipelineModel([
-            CountVectorizerModel.from_vocabulary([r["term"] for r in rows], self.terms, counts),
+            CountVectorizerModel.from_vocabulary([r["term"] for r in rows], self.getInputCol(), counts),
             ElementwiseProduct(scalingVec=idf, inputCol=counts, outputCol=weights),
-            Normalizer(p=2.0, inputCol=weights, outputCol=self.out),
+            Normalizer(p=2.0, inputCol=weights, outputCol=out),
         ])
 
 
-class CentreScale(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+# -- scales -----------------------------------------------------------------
+
+class CentreScale(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable, _Built):
     """(x - centre) / scale per vector element."""
 
     centre = Param(Params._dummy(), "centre", "subtracted per element", TypeConverters.toListFloat)
@@ -67,7 +195,7 @@ class CentreScale(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
     @keyword_only
     def __init__(self, inputCol=None, outputCol=None, centre=None, scale=None):
         super().__init__()
-        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+        self._build()
 
     def _transform(self, df: DataFrame) -> DataFrame:
         x = vector_to_array(quoted(self.getInputCol()))
@@ -76,19 +204,64 @@ class CentreScale(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
         return df.withColumn(self.getOutputCol(), array_to_vector(x))
 
 
-class ScaleStage(Estimator):
-    """``kind``: standard (population deviation, not centred) or minmax."""
+def vector_entries(vector: Column) -> Column:
+    """``(slot, value)`` of the entries that a vector holds, without making a sparse one dense."""
+    v = F.unwrap_udt(vector)
+    slots = F.when(v["type"] == 0, v["indices"]).otherwise(F.sequence(F.lit(0), F.greatest(F.size(v["values"]) - 1, F.lit(0))))
+    return F.zip_with(slots, v["values"], lambda i, x: F.struct(i.alias("slot"), x.alias("value")))
+
+
+class ScaleStage(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable, _Built):
+    """``kind``: standard (population deviation, not centred), minmax, or robust (median, interquartile range)."""
+
+    kind = Param(Params._dummy(), "kind", "standard, minmax or robust", TypeConverters.toString)
 
-    def __init__(self, kind: str, inp: str, out: str):
+    @keyword_only
+    def __init__(self, kind=None, inputCol=None, outputCol=None):
         super().__init__()
-        self.kind, self.inp, self.out = kind, inp, out
+        self._build()
+
+    def _stage(self, centre: list[float], scale: list[float]):
+        if any(centre):
+            return CentreScale(inputCol=self.getInputCol(), outputCol=self.getOutputCol(), centre=centre, scale=scale)
+        factor = Vectors.dense([1.0 / s for s in scale])
+        return ElementwiseProduct(scalingVec=factor, inputCol=self.getInputCol(), outputCol=self.getOutputCol())
 
     def _fit(self, df: DataFrame):
-        s = df.select(Summarizer.metrics("count", "std", "min", "max").summary(quoted(self.inp)).alias("s")).first()["s"]
-        if self.kind == "standard":
+        if self.getOrDefault("kind") == "robust":
+            return self._robust(df)
+        s = df.select(Summarizer.metrics("count", "std", "min", "max").summary(quoted(self.getInputCol())).alias("s")).first()["s"]
+        if self.getOrDefault("kind") == "standard":
             to_population = math.sqrt((s["count"] - 1) / s["count"]) if s["count"] else 1.0
-            factor = [1.0 / (v * to_population) if v * to_population > 0 else 1.0 for v in s["std"]]
-            return ElementwiseProduct(scalingVec=Vectors.dense(factor), inputCol=self.inp, outputCol=self.out)
+            scale = [v * to_population if v * to_population > 0 else 1.0 for v in s["std"]]
+            return self._stage([0.0] * len(scale), scale)
         low = [float(v) for v in s["min"]]
-        span = [float(b - a) or 1.0 for a, b in zip(s["min"], s["max"], strict=True)]
-        return CentreScale(inputCol=self.inp, outputCol=self.out, centre=low, scale=span)
+        return self._stage(low, [float(b - a) or 1.0 for a, b in zip(s["min"], s["max"], strict=True)])
+
+    def _robust(self, df: DataFrame):
+        v = F.unwrap_udt(quoted(self.getInputCol()))
+        width = F.when(v["type"] == 0, v["size"]).otherwise(F.size(v["values"]))
+        n, d = df.agg(F.count(F.lit(1)), F.coalesce(F.max(width), F.lit(0))).first()
+        held = df.select(F.explode(vector_entries(quoted(self.getInputCol()))).alias("e"))
+        long = held.select(F.col("e.slot").alias("column"), F.col("e.value").alias("value")).where((F.col("value") != 0) & ~F.isnan("value"))
+        sketched = written(sketch(long).join(long.groupBy("column").agg(F.count_if(F.col("value") < 0).alias("below")), "column"), "slot-sketch")
+        # place j among all n values of a slot: below zero, zero, or that much further on among the others
+        ranks = sorted({r for p in (0.25, 0.5, 0.75) for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))}) if n else []
+        zeros = F.lit(n) - F.col("n")
+        places = sketched.select("column", F.explode(F.array(*[F.lit(r).cast("long") for r in ranks] or [F.lit(0).cast("long")])).alias("rank"),
+                                 "below", zeros.alias("zeros"))
+        is_zero = (F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("below") + F.col("zeros"))
+        j = F.when(F.col("rank") < F.col("below"), F.col("rank")).otherwise(F.col("rank") - F.col("zeros"))
+        asked = written(places.where(~is_zero).select("column", "rank", j.alias("j")), "slot-ranks")
+        stats = order_statistics(long, asked.select("column", "j").distinct(), sketched.select("column", "n", "grid"))
+        value = {(r["column"], r["rank"]): r["value"] for r in asked.join(stats, ["column", "j"]).collect()}  # numbers per feature
+
+        def quantile(slot: int, p: float) -> float:
+            h = (n - 1) * p
+            lo, hi = math.floor(h), math.ceil(h)
+            a, b = value.get((slot, lo), 0.0), value.get((slot, hi), 0.0)
+            return a if lo == hi else (hi - h) * a + (h - lo) * b
+
+        if not n:
+            return self._stage([0.0] * d, [1.0] * d)
+        return self._stage([quantile(i, 0.5) for i in range(d)], [(quantile(i, 0.75) - quantile(i, 0.25)) or 1.0 for i in range(d)])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabrix.operators import features as FE
 from tabrix.plans.common import r6, table
-from tabrix.plans.registry import query
+from tabrix.plans.registry import ORACLE_SQL, query
 
 ONEHOT_COLS = ["o_orderstatus", "o_orderpriority"]
 
@@ -27,6 +27,20 @@ def onehot_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FE.one_hot_long(o, "o_orderkey", ONEHOT_COLS, vocab)
 
 
+@query("onehot_pipeline_orders", sql=ORACLE_SQL["onehot_orders"])
+def onehot_pipeline_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vector blocks that the model pipeline's category stage gives, in long form."""
+    from tabrix.operators.stages import vector_entries
+
+    o = table(spark, sf_dir, "orders").select("o_orderkey", *ONEHOT_COLS)
+    model = FE.one_hot_stages(ONEHOT_COLS)[0].fit(o)
+    blocks = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("category"),
+                                          vector_entries(F.col(f"{c}_ohe")).alias("entries")) for c in ONEHOT_COLS])).alias("b")
+    one = F.get(F.filter("b.entries", lambda e: e["value"] == 1), F.lit(0))["slot"]
+    return model.transform(o).select("o_orderkey", blocks).select(
+        "o_orderkey", "b.column_name", "b.category", one.alias("category_index"))
+
+
 TFIDF_SQL = r"""
 toks AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]{2,}') AS t FROM documents),
 grams AS (SELECT doc_id, unnest(t) AS term FROM toks
@@ -58,8 +72,7 @@ SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) A
 """)
 def tfidf_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    v = FE.fit_tfidf(d, "doc_id", "text", 4000, 2, 0.95)
-    return FE.tfidf_long(d, "doc_id", "text", v).select("doc_id", "term", r6("tfidf").alias("tfidf"))
+    return FE.tfidf(d, "doc_id", "text", 4000, 2, 0.95).select("doc_id", "term", r6("tfidf").alias("tfidf"))
 
 
 @query("tfidf_pipeline_documents", sql=f"""
@@ -69,14 +82,13 @@ SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) A
 """)
 def tfidf_pipeline_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature values that the model pipeline's text stage gives, in long form."""
-    from pyspark.ml.functions import vector_to_array
+    from tabrix.operators.stages import vector_entries
 
     terms = FE.with_terms(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "terms").drop("text")
     model = FE.tfidf_stages("text", "tfidf", 4000, 2, 0.95, terms_col="terms")[0].fit(terms)
     names = F.lit(model.stages[0].vocabulary)
-    at = F.posexplode(vector_to_array("tfidf")).alias("i", "tfidf")
-    rows = model.transform(terms).select("doc_id", at).where("tfidf != 0")
-    return rows.select("doc_id", F.get(names, F.col("i")).alias("term"), r6("tfidf").alias("tfidf"))
+    rows = model.transform(terms).select("doc_id", F.explode(vector_entries(F.col("tfidf"))).alias("e")).where("e.value != 0")
+    return rows.select("doc_id", F.get(names, F.col("e.slot")).alias("term"), r6("e.value").alias("tfidf"))
 
 
 SCALE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -115,6 +127,19 @@ def scale_lineitem_robust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scaled(spark, sf_dir, "robust")
 
 
+@query("scale_pipeline_lineitem", sql=ORACLE_SQL["scale_lineitem_robust"])
+def scale_pipeline_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The robust scale of the model pipeline's stage, as columns."""
+    from pyspark.ml.functions import vector_to_array
+
+    from tabrix.operators.model import scaler_stage
+
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *[F.col(c).cast("double").alias(c) for c in SCALE_COLS])
+    rows = FE.assemble(SCALE_COLS, "v").transform(li)
+    out = scaler_stage("robust", "v", "f").fit(rows).transform(rows).select("l_orderkey", "l_linenumber", vector_to_array("f").alias("f"))
+    return out.select("l_orderkey", "l_linenumber", *[F.round(F.col("f")[i], 6).alias(c) for i, c in enumerate(SCALE_COLS)])
+
+
 def _scaled(spark, sf_dir, kind):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *SCALE_COLS)
     out = FE.scale(li, SCALE_COLS, kind)

@@ -139,3 +139,78 @@ def train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = SC.score_batch(model, test, EXPECTED, keep=["doc_id", "label"])
     return scored.select("doc_id", F.col("label").cast("int").alias("label"), "prediction",
                          "probability")
+
+
+CANDIDATES = (
+    M.Candidate("logistic_regression", {"maxIter": 20}, {"regParam": [0.01, 0.1]}, ("none", "standard", "robust")),
+    M.Candidate("random_forest", {"numTrees": 20}, {"maxDepth": [4, 6]}),
+    M.Candidate("gbt", {"maxIter": 10, "stepSize": 0.2}, {"maxDepth": [2, 3]}),
+)
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> M.CandidateSearch:
+    train, _ = S.split_frames(labelled(spark, sf_dir), "doc_id", "label", 0.25, 42)
+    folds = S.stratified_kfold(materialize(train), "doc_id", "label", 3, 42, out="fold")
+    folds = materialize(with_features(folds, spark, sf_dir))
+    stages = M.feature_stages(NUMERIC, CATEGORICAL, TEXT, 200, "text_terms")
+    return M.search_candidates(folds, CANDIDATES, stages, key="doc_id", num_folds=3, n_iter=2, parallelism=4)
+
+
+@query("model_candidates")
+def model_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of learners, scalers and parameters per fold, and the selected one."""
+    return _candidates(spark, sf_dir).scores
+
+
+@query("model_candidates_folds", sql="""
+WITH r AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY md5('42:' || doc_id), doc_id) AS pos FROM labels),
+c AS (SELECT quality, count(*) AS n_c FROM labels GROUP BY quality),
+t AS (SELECT CAST(ceil(sum(n_c) * 0.25) AS BIGINT) AS n_test, sum(floor(n_c * 0.25)) AS n_base FROM c),
+a AS (SELECT quality, floor(n_c * 0.25) + CASE WHEN row_number() OVER (ORDER BY n_c * 0.25 - floor(n_c * 0.25) DESC, quality)
+             <= (SELECT n_test - n_base FROM t) THEN 1 ELSE 0 END AS k FROM c),
+train AS (SELECT doc_id, quality FROM r JOIN a USING (quality) WHERE pos > k),
+f AS (SELECT doc_id, (row_number() OVER (PARTITION BY quality ORDER BY md5('42:' || doc_id), doc_id) - 1) % 3 AS fold FROM train)
+SELECT CAST(fold AS INTEGER) AS fold, (SELECT count(*) FROM f) - count(*) AS n_fit, count(*) AS n_held,
+       CAST(sum(doc_id) AS BIGINT) AS held_key_sum, 6 AS n_candidates, 1 AS n_selected, true AS selected_is_first_best
+FROM f GROUP BY fold
+""")
+def model_candidates_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can check of the search: the rows of each fold, and that the first of the best candidates is selected."""
+    found = _candidates(spark, sf_dir)
+    first_best = F.min(F.struct((-F.col("mean_auc")).alias("neg"), "candidate"))["candidate"]
+    chosen = F.max(F.when(F.col("selected"), F.col("candidate")))
+    told = found.scores.agg(F.count_distinct("candidate").cast("int").alias("n_candidates"),
+                            F.count_distinct(F.when(F.col("selected"), F.col("candidate"))).cast("int").alias("n_selected"),
+                            (chosen == first_best).alias("selected_is_first_best")).first()
+    return found.folds.select("*", *[F.lit(told[c]).alias(c) for c in ("n_candidates", "n_selected", "selected_is_first_best")])
+
+
+@query("tree_learners", sql="""
+WITH c AS (SELECT quality, count(*) AS n_c FROM labels GROUP BY quality),
+t AS (SELECT CAST(ceil(sum(n_c) * 0.25) AS BIGINT) AS n_test FROM c)
+SELECT algorithm, n_test AS n_scored, true AS reload_equal, true AS importances_sum_to_one, true AS better_than_chance
+FROM t, (SELECT unnest(['gbt', 'random_forest']) AS algorithm)
+""")
+def tree_learners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted trees and a forest: saved and loaded models score alike, importances sum to one, held-out rows are ranked."""
+    from tabrix.operators import evaluate as EV
+    from tabrix.session import scratch_path
+    from tabrix.sources import io as IO
+
+    flagged = materialize(with_features(S.stratified_split(labelled(spark, sf_dir), "doc_id", "label", 0.25, 42, "is_test"), spark, sf_dir))
+    train, test = flagged.where(~F.col("is_test")), flagged.where(F.col("is_test"))
+    out = None
+    for algorithm, params in (("gbt", {"maxIter": 10, "maxDepth": 3}), ("random_forest", {"numTrees": 20, "maxDepth": 6})):
+        model = M.build_pipeline(NUMERIC, CATEGORICAL, TEXT, algorithm, params, tfidf_max_features=200, text_terms="text_terms").fit(train)
+        path = scratch_path(spark, f"model-{algorithm}")
+        IO.save_model(model, path)
+        scored = SC.score_batch(model, test, EXPECTED, keep=["doc_id", "label"])
+        again = SC.score_batch(IO.load_model(path), test, EXPECTED, keep=["doc_id"])
+        scored = materialize(scored.join(again.select("doc_id", F.col("probability").alias("again")), "doc_id"))
+        auc = EV.roc_auc(scored.withColumn("label", F.col("label").cast("int")), "label", "probability")
+        total = M.feature_importances(model).agg(F.sum("importance")).first()[0]
+        row = scored.agg(F.count(F.lit(1)).alias("n_scored"), F.bool_and(F.col("probability") == F.col("again")).alias("reload_equal")).select(
+            F.lit(algorithm).alias("algorithm"), "n_scored", "reload_equal", F.lit(abs(total - 1) < 1e-9).alias("importances_sum_to_one"),
+            F.lit(auc.first()["auc"] > 0.5).alias("better_than_chance"))
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -75,9 +75,14 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def scratch_path(spark, name):
+    """A new path in the shared folder that the cluster names in ``spark.checkpoint.dir``."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df, name):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it
     back: the lineage is cut, and every reader sees the same rows."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
