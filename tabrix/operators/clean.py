@@ -17,7 +17,10 @@ from pyspark.sql import types as T
 
 from tabrix.functions.nulls import (DEFAULT_NULL_TOKENS, is_numeric_type, quoted, safe_double,
                                     strip_ws)
+from tabrix.operators.keyed import join_unique
+from tabrix.operators.prefix import row_positions, string_order_key
 from tabrix.operators.stats import column_modes, exact_quantiles
+from tabrix.session import written
 
 # The reference's column renames and categorical value maps
 # (plain strings: the YAML 1.1 yes/no-as-boolean quirk is not reproduced).
@@ -207,7 +210,8 @@ def impute(df: DataFrame, exclude: Sequence[str] = (), fill_value: str = UNKNOWN
 
 
 def fit_label_encoder(df: DataFrame, target: str, max_labels: int = MAX_LABELS) -> list[str]:
-    """Sorted distinct labels (as text) of ``target``; index = position."""
+    """Sorted distinct labels (as text) of ``target``; index = position. For the few
+    classes of a learner; ``fit_label_table`` takes any number."""
     labels = df.select(quoted(target).cast("string").alias("l")).where(F.col("l").isNotNull()) \
         .distinct().limit(max_labels + 1).collect()
     if len(labels) > max_labels:
@@ -215,6 +219,30 @@ def fit_label_encoder(df: DataFrame, target: str, max_labels: int = MAX_LABELS)
     return sorted(r["l"] for r in labels)
 
 
+def fit_label_table(df: DataFrame, target: str) -> DataFrame:
+    """``(label, index)`` of the sorted distinct labels (as text), for any number of them; written once."""
+    labels = df.select(quoted(target).cast("string").alias("label")).where("label IS NOT NULL").distinct()
+    keyed = written(labels.withColumn("__sk", string_order_key(F.col("label"))), "labels")
+    return written(row_positions(keyed, ["__sk", "label"], out="__pos").select("label", (F.col("__pos") - 1).cast("int").alias("index")), "label-table")
+
+
+def apply_label_table(df: DataFrame, target: str, labels: DataFrame, out: str | None = None) -> DataFrame:
+    """Map ``target`` to its index in ``labels``; an unseen label fails the job, naming it.
+
+    ``labels`` has a row per label, however many: hot labels are joined where they
+    lie, the others by shuffle. ``df`` is read three times.
+    """
+    out = out or target
+    keyed = df.withColumn("__label", F.coalesce(quoted(target).cast("string"), F.lit("nan")))
+    joined = join_unique(keyed, labels.select(F.col("label").alias("__label"), F.col("index").alias("__idx")), ["__label"], "left")
+    message = F.concat(F.lit("a label without an index (fitted on other rows): "), F.col("__label"))
+    index = F.when(F.col("__idx").isNull(), F.raise_error(message).cast("int")).otherwise(F.col("__idx"))
+    # a filter is evaluated by every action, count() too
+    joined = joined.where(index >= 0)
+    return joined.select(*[F.col("__idx").alias(out) if c == out else quoted(c) for c in df.columns],
+                         *([] if out in df.columns else [F.col("__idx").alias(out)]))
+
+
 def labels_frame(spark, labels: Sequence[str], target: str, out: str) -> DataFrame:
     return spark.createDataFrame([(lab, i) for i, lab in enumerate(labels)],
                                  T.StructType([T.StructField("__label", T.StringType()),

@@ -58,6 +58,7 @@ class QualityRules:
     temporal_check: TemporalCheck | None = None
     strict_column_match: bool = True
     fail_on_extra_columns: bool = False
+    check_types: bool = False  # number columns hold numbers, category columns do not
 
 
 # The claims table contract of the studied pipeline (column

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabrix.functions.nulls import is_numeric_type, present, quoted
+from tabrix.operators.prefix import running
 
 PSI_EPS = 1e-6
 MEAN_EPS = 1e-6
@@ -194,6 +195,43 @@ def model_drift(current: DataFrame, baseline: DataFrame, metric_name: str = "auc
                     (drop > F.lit(float(threshold))).alias("status"))
 
 
+def champion_history(ledger: DataFrame, keys: Sequence[str] = ("model_name", "env"), ts: str = "ts") -> DataFrame:
+    """``(keys, ts, seq, champion, champion_score)``: who is champion after each run of a ``promote.ledger``."""
+    held = F.when(F.col("decision") == "promote", F.col("score")).otherwise(F.col("best_score_before"))
+    return ledger.where(F.col("champion_after").isNotNull()).select(
+        *keys, ts, F.col("version").alias("seq"), F.col("champion_after").alias("champion"), held.cast("double").alias("champion_score"))
+
+
+def model_drift_asof(evaluations: DataFrame, history: DataFrame, keys: Sequence[str] = ("model_name", "env"), ts: str = "ts",
+                     value: str = "value", threshold: float = 0.05, higher_is_better: bool = True) -> DataFrame:
+    """``evaluations`` with ``baseline_version``, ``baseline_metric``, ``relative_drop`` and ``status``.
+
+    The baseline of an evaluation is the champion that was valid at its time (a run
+    of the same moment counts). No range join: evaluations and champions are put in
+    one order of time per key, and each evaluation carries the last champion before
+    it (``prefix.running``: a hot key is spread over range bins). No champion yet ->
+    drop 0, status false; a NULL value has a NULL drop and status false.
+    """
+    cols = evaluations.columns
+    seq = history.schema["seq"].dataType
+    champion = F.struct("champion", "champion_score")
+    none = F.lit(None).cast(history.select(champion.alias("c")).schema["c"].dataType)
+    row = F.struct(*[quoted(c) for c in cols])
+    order = F.lit(None).cast(seq).alias("__seq")
+    rows = history.select(*keys, quoted(ts).alias("__ts"), F.lit(0).alias("__kind"), F.col("seq").alias("__seq"), champion.alias("__champion"),
+                          F.lit(None).cast(evaluations.select(row.alias("r")).schema["r"].dataType).alias("__row"))
+    rows = rows.unionByName(evaluations.select(*keys, quoted(ts).alias("__ts"), F.lit(1).alias("__kind"), order, none.alias("__champion"), row.alias("__row")))
+    # champions come before evaluations of the same moment
+    found = running(rows, ["__ts", "__kind", "__seq"], [("__base", "last", "__champion")], partition_by=list(keys)).where("__kind = 1")
+    now, base = F.col(f"__row.`{value}`"), F.col("__base.champion_score")
+    denom = F.when(F.abs(base) > MEAN_EPS, F.abs(base)).otherwise(F.lit(1.0))
+    worse = (base - now) if higher_is_better else (now - base)
+    drop = F.when(base.isNull(), F.lit(0.0)).when(now.isNotNull(), F.greatest(F.lit(0.0), worse / denom))
+    return found.select(*[F.col(f"__row.`{c}`").alias(c) for c in cols], F.col("__base.champion").alias("baseline_version"),
+                        base.alias("baseline_metric"), drop.alias("relative_drop"), F.lit(float(threshold)).alias("threshold"),
+                        F.coalesce(drop > F.lit(float(threshold)), F.lit(False)).alias("status"))
+
+
 def retrain_signal(data: DataFrame, concept: DataFrame, model: DataFrame) -> DataFrame:
     """One row: the three statuses and their OR (each input is a one-row frame).
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tabrix.functions.nulls import is_numeric_type, quoted
 from tabrix.functions.text import combine_columns
 from tabrix.operators.parallel import spread
-from tabrix.operators.prefix import row_positions
+from tabrix.operators.prefix import row_positions, string_order_key
 from tabrix.operators.stats import exact_quantiles
 from tabrix.session import written
 
@@ -61,13 +61,6 @@ def manifest(df: DataFrame, target: str, text_col: str = "combined_text") -> dic
 
 # -- one-hot ----------------------------------------------------------------
 
-def string_order_key(c: Column) -> Column:
-    """Numeric key whose order agrees with the binary order of a string on its
-    first 7.5 bytes (range-bin key for string ordering)."""
-    h = F.rpad(F.substring(F.hex(F.encode(c, "UTF-8")), 1, 15), 15, "0")
-    return F.conv(h, 16, 10).cast("decimal(20,0)").cast("double")
-
-
 def _long_values(df: DataFrame, cols: Sequence[str], key: str | None) -> DataFrame:
     keep = [quoted(key)] if key else []
     return df.select(*keep, F.explode(F.array(*[

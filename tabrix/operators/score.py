@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabrix.functions.nulls import quoted
 
@@ -26,7 +27,7 @@ def expected_columns(manifest: dict) -> list[str]:
 def required_columns(df: DataFrame, expected: Sequence[str]) -> None:
     missing = sorted(set(expected) - set(df.columns))
     if missing:
-        raise ScoringInputError(f"Missing required columns: {missing}")
+        raise ScoringInputError(f"the model needs columns that the rows lack: {missing}")
 
 
 def align(df: DataFrame, expected: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -50,3 +51,23 @@ def parse_requests(raw: DataFrame, schema, value_col: str = "value") -> DataFram
     """JSON request rows (one object per line) -> typed columns."""
     parsed = raw.select(F.from_json(F.col(value_col), schema).alias("r"))
     return parsed.select("r.*")
+
+
+def checked_requests(raw: DataFrame, schema: T.StructType, required: Sequence[str], not_null: Sequence[str] = (),
+                     value_col: str = "value") -> DataFrame:
+    """``(request, reason, columns of the schema)``: parsed JSON requests, and why one cannot be scored.
+
+    ``reason`` is NULL for a good request. A request must be one JSON object whose
+    values fit the schema, have every ``required`` name (its value may be NULL) and
+    a value for each of ``not_null``.
+    """
+    broken = "__broken"
+    full = T.StructType([*schema.fields, T.StructField(broken, T.StringType())])
+    read = F.from_json(F.col(value_col), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken})
+    rows = raw.select(F.col(value_col).alias("request"), read.alias("r"), F.json_object_keys(F.col(value_col)).alias("names"))
+    lacking = F.array_except(F.array(*map(F.lit, required)), F.col("names"))
+    empty = F.filter(F.array(*[F.when(F.col(f"r.`{c}`").isNull(), F.lit(c)) for c in not_null]), lambda x: x.isNotNull()) if not_null else F.array()
+    reason = F.when(F.col("names").isNull() | F.col(f"r.{broken}").isNotNull(), "not a JSON object of the expected types") \
+        .when(F.size(lacking) > 0, F.concat(F.lit("lacks "), F.array_join(lacking, ", "))) \
+        .when(F.size(empty) > 0, F.concat(F.lit("no value for "), F.array_join(empty, ", ")))
+    return rows.select("request", reason.alias("reason"), *[F.col(f"r.`{f.name}`").alias(f.name) for f in schema.fields])

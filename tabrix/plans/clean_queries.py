@@ -68,8 +68,7 @@ FROM orders
 """)
 def label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    labels = C.fit_label_encoder(o, "o_orderpriority")
-    return C.apply_label_map(o, "o_orderpriority", labels, out="priority_idx")
+    return C.apply_label_table(o, "o_orderpriority", C.fit_label_table(o, "o_orderpriority"), out="priority_idx")
 
 
 @query("text_normalize_documents", sql=f"""
@@ -160,3 +159,68 @@ def date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = D.parse_date(F.col("order_date_text"))
     return txt.select("o_orderkey", ts.alias("order_date"),
                       *D.date_parts(ts, "order_date"))
+
+
+@query("rename_drop_orders", sql="""
+SELECT o_orderkey AS order_key, o_orderstatus AS order_status, round(o_totalprice, 6) AS total_price
+FROM orders WHERE o_orderpriority NOT IN ('5-LOW', '4-NOT SPECIFIED')
+""")
+def rename_drop_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd names made regular; rows with nothing but a key, and rows without their target, dropped."""
+    empty, unlabelled = F.col("o_orderpriority") == "5-LOW", F.col("o_orderpriority") == "4-NOT SPECIFIED"
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("Order-Key"), F.when(~(empty | unlabelled), F.col("o_orderstatus")).alias("status"),
+        F.when(~empty, r6("o_totalprice")).alias(" Total Price "))
+    d = C.rename_columns(o, {"status": "Order Status"})
+    return C.drop_null_target(C.drop_empty_rows(d, ["order_key"]), "order_status")
+
+
+@query("csv_orders", sql="""
+SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE round(o_totalprice, 6) END AS o_totalprice,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN NULL WHEN o_orderpriority = '3-MEDIUM' THEN '?' ELSE o_orderpriority END AS o_orderpriority
+FROM orders
+""")
+def csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders written as CSV with missing-value tokens and read back: tokens NULL, columns typed by what is left."""
+    from tabrix.session import scratch_path
+    from tabrix.sources import io as IO
+
+    priority = F.col("o_orderpriority")
+    text = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(priority == "5-LOW", "N/A").otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(priority == "1-URGENT", "nan").when(priority == "3-MEDIUM", "?").otherwise(priority).alias("o_orderpriority"))
+    path = scratch_path(spark, "orders-csv")
+    IO.write_table(text, path, fmt="csv")
+    back = IO.read_table(spark, path, fmt="csv", label="orders")
+    return back.select("o_orderkey", r6("o_totalprice").alias("o_totalprice"), "o_orderpriority")
+
+
+@query("lemmatize_documents", sql="""
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS w FROM documents)
+SELECT doc_id, array_to_string(list_transform(w, lambda x: CASE WHEN length(x) > 4 AND x LIKE '%ing' THEN left(x, length(x) - 3) ELSE x END), ' ') AS lemmas
+FROM t
+""")
+def lemmatize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lemmas by a table taken from the corpus: each longer word in -ing without that ending."""
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", X.tokenize(F.coalesce("text", F.lit(""))).alias("words")))
+    word = F.col("token")
+    lemmas = d.select(F.explode("words").alias("token")).where(word.endswith("ing") & (F.length(word) > 4)).distinct()
+    lemmas = lemmas.select("token", F.expr("left(token, length(token) - 3)").alias("lemma"))
+    out = X.lemmatize_join(materialize(d), "doc_id", "words", lemmas)
+    return out.select("doc_id", F.array_join("words", " ").alias("lemmas"))
+
+
+@query("feature_frame_part", sql=f"""
+SELECT p_partkey, round(p_retailprice, 6) AS p_retailprice,
+       {strip("concat_ws(' ', coalesce(p_name, ''), coalesce(p_type, ''))")} AS combined_text, p_brand, p_size,
+       'p_partkey,p_retailprice' AS numeric_columns, 'p_brand' AS categorical_columns
+FROM part
+""")
+def feature_frame_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feature frame (text combined, target last) beside the roles that its manifest lists."""
+    from tabrix.operators import features as FE
+
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", r6("p_retailprice").alias("p_retailprice"))
+    frame = FE.feature_frame(p, "p_size", ["p_name", "p_type", "p_comment"])
+    roles = FE.manifest(frame, "p_size")
+    return frame.select("*", *[F.lit(",".join(roles[c])).alias(c) for c in ("numeric_columns", "categorical_columns")])

@@ -284,3 +284,30 @@ def promotion_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     cur = P.current_aliases(P.ledger(runs(spark, sf_dir)))
     return cur.select("model_name", "env", "champion", "challenger",
                       r6("champion_score").alias("champion_score"))
+
+
+@query("drift_model_asof", sql="""
+WITH r AS (SELECT user_id AS model_name, event_type AS env, event_id AS version, value AS score,
+                  CAST(json_extract(props, '$.k') AS INTEGER) > 90 AS should_retrain, ts FROM events),
+b AS (SELECT *, max(CASE WHEN NOT should_retrain THEN score END) OVER (
+                  PARTITION BY model_name, env ORDER BY ts, version
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before FROM r),
+p AS (SELECT *, NOT should_retrain AND (best_before IS NULL OR score > best_before) AS promoted FROM b),
+champions AS (SELECT model_name, env, ts, max(version) AS version, max(score) AS score FROM p WHERE promoted GROUP BY model_name, env, ts),
+j AS (SELECT r.model_name, r.env, r.version, r.ts + INTERVAL 6 HOUR AS evaluated_at, r.score AS value,
+             c.version AS baseline_version, c.score AS baseline
+      FROM r ASOF LEFT JOIN champions c ON r.model_name = c.model_name AND r.env = c.env AND r.ts + INTERVAL 6 HOUR >= c.ts),
+d AS (SELECT *, CASE WHEN baseline IS NULL THEN 0.0
+             ELSE greatest(0.0, (baseline - value) / CASE WHEN abs(baseline) > 1e-6 THEN abs(baseline) ELSE 1.0 END) END AS drop_ FROM j)
+SELECT model_name, env, version, evaluated_at, round(value, 6) AS value, baseline_version, round(baseline, 6) AS baseline_metric,
+       round(drop_, 6) AS relative_drop, CAST(0.05 AS DOUBLE) AS threshold, drop_ > 0.05 AS status FROM d
+""")
+def drift_model_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every run evaluated again six hours later, against the champion of that time."""
+    all_runs = runs(spark, sf_dir)
+    later = all_runs.select("model_name", "env", "version", (F.col("ts") + F.expr("INTERVAL 6 HOURS")).alias("evaluated_at"),
+                            F.col("score").alias("value"))
+    history = DR.champion_history(P.ledger(all_runs)).withColumnRenamed("ts", "evaluated_at")
+    out = DR.model_drift_asof(later, history, ts="evaluated_at")
+    return out.select("model_name", "env", "version", "evaluated_at", r6("value").alias("value"), "baseline_version",
+                      r6("baseline_metric").alias("baseline_metric"), r6("relative_drop").alias("relative_drop"), "threshold", "status")

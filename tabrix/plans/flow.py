@@ -83,12 +83,13 @@ def clean_frame(df: DataFrame, cfg: FlowConfig, target: str, coerce_cols=None, s
     d = normalize_columns(d, list(cfg.text_columns))
     d = enrich_dates(d, list(cfg.date_columns), cfg.date_diff, cfg.date_diff_name)
     if stats is None:
-        stats = C.fit_impute(d, exclude=[target, cfg.key])
+        stats = C.fit_impute(d, exclude=[target, key])
     return C.apply_impute(d, stats), coerce_cols, stats
 
 
 def training_flow(raw: DataFrame, cfg: FlowConfig) -> FlowResult:
     target = C.normalize_name(cfg.contract.target_column)
+    key = C.normalize_name(cfg.key)  # the key's name once the columns are renamed
     split = materialize(S.stratified_split(raw, cfg.key, cfg.contract.target_column,
                                            cfg.test_size, cfg.seed, "__is_test"))
     train_raw = split.where(~F.col("__is_test")).drop("__is_test")
@@ -113,22 +114,22 @@ def training_flow(raw: DataFrame, cfg: FlowConfig) -> FlowResult:
     text_sources = [C.normalize_name(c) for c in cfg.text_columns]
     train = FE.feature_frame(train, target, text_sources, cfg.combined_text)
     test = FE.feature_frame(test, target, text_sources, cfg.combined_text)
-    manifest = FE.manifest(train.drop(cfg.key), target, cfg.combined_text)
+    manifest = FE.manifest(train.drop(key), target, cfg.combined_text)
 
     labelled = train.withColumn("label", F.col(target).cast("double"))
-    folds = materialize(S.stratified_kfold(labelled, cfg.key, target, cfg.folds, cfg.seed))
+    folds = materialize(S.stratified_kfold(labelled, key, target, cfg.folds, cfg.seed))
     pipe = M.build_pipeline(manifest["numeric_columns"], manifest["categorical_columns"],
                             cfg.combined_text, cfg.algorithm, cfg.params, cfg.scaler)
     cv, maps = M.search(folds, pipe, cfg.grid, fold_col="fold", seed=cfg.seed,
                         num_folds=cfg.folds, parallelism=2)
     search_summary = M.search_summary(raw.sparkSession, cv, maps, cfg.algorithm)
 
-    predictions = M.predict(cv.bestModel, test, keep=[cfg.key, target]) \
+    predictions = M.predict(cv.bestModel, test, keep=[key, target]) \
         .withColumnRenamed(target, "label")
     metrics = EV.binary_metrics(predictions, "label", "prediction", "probability")
     conf = EV.confusion(predictions, "label", "prediction")
 
-    feats = DR.feature_drift(train.drop(cfg.key), test.drop(cfg.key), target)
+    feats = DR.feature_drift(train.drop(key), test.drop(key), target)
     return FlowResult(report, summary, train, test, manifest, labels, search_summary,
                       predictions, metrics, conf, feats, DR.data_drift(feats),
                       DR.concept_drift(train, test, target))

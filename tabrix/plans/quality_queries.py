@@ -169,3 +169,33 @@ def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = orders_report(spark, sf_dir).unionByName(sum_report(spark, sf_dir)) \
         .unionByName(temporal_report(spark, sf_dir))
     return Q.summarize(report)
+
+
+@query("dq_orders_types", sql="""
+SELECT 'orders' AS dataset, 'mistyped_numerical_columns' AS check_name, NULL AS column_name, CAST(2.0 AS DOUBLE) AS observed,
+       CAST(0.0 AS DOUBLE) AS threshold, false AS passed FROM (SELECT count(*) FROM orders)
+UNION ALL
+SELECT 'orders', 'mistyped_categorical_columns', NULL, CAST(1.0 AS DOUBLE), CAST(0.0 AS DOUBLE), false FROM (SELECT count(*) FROM orders)
+""")
+def dq_orders_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles against types: a number column read as text, a text column, and a number among the categories."""
+    orders = dirty_orders(spark, sf_dir)
+    contract = TableContract(columns=tuple(orders.columns), target_column="o_orderstatus",
+                             numerical_columns=("o_orderkey", "o_totalprice", "o_totalprice_txt", "o_orderpriority"),
+                             categorical_columns=("o_orderstatus", "o_custkey", "o_clerk"))
+    rules = QualityRules(check_types=True, target_allowed_values=("F", "O"))
+    return _tidy(Q.validate(orders, "orders", contract, rules).where(F.col("check_name").startswith("mistyped_")))
+
+
+@query("inputs_report", sql="""
+SELECT 'orders' AS dataset, 'input_not_empty' AS check_name, NULL AS column_name, CAST(count(*) > 0 AS DOUBLE) AS observed,
+       CAST(1.0 AS DOUBLE) AS threshold, count(*) > 0 AS passed FROM orders
+UNION ALL SELECT 'events', 'input_not_empty', NULL, CAST(count(*) > 0 AS DOUBLE), CAST(1.0 AS DOUBLE), count(*) > 0 FROM events
+UNION ALL SELECT 'returns', 'input_exists', NULL, CAST(0.0 AS DOUBLE), CAST(1.0 AS DOUBLE), false
+""")
+def inputs_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which required inputs exist and have rows (one of the three does not exist)."""
+    from tabrix.sources import io as IO
+
+    names = ("orders", "events", "returns")
+    return _tidy(IO.require_inputs(spark, {n: f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names}))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tabrix.operators import evaluate as EV
 from tabrix.operators import split as S
 from tabrix.plans.common import r6, table
-from tabrix.plans.registry import query
+from tabrix.plans.registry import ORACLE_SQL, query
 
 
 def _alloc_sql(src: str, cls: str, p: float) -> str:
@@ -197,3 +197,38 @@ def eval_metrics_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             (score >= 0.5).cast("int").alias("prediction"))
     m = EV.binary_metrics(scored, "label", "prediction", "score", by=["lang"])
     return m.select("lang", "metric", r6("value").alias("value"))
+
+
+@query("eval_run_info", sql=ORACLE_SQL["eval_metrics"].replace(
+    "SELECT metric, round(value, 6) AS value FROM m",
+    "SELECT 'models:/length/1' AS model_uri, 'run-1' AS run_id, 'dev' AS env, metric, round(value, 6) AS value FROM m"))
+def eval_run_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run record of an evaluation, its metrics map in rows."""
+    from tabrix.operators import model as M
+
+    m = EV.binary_metrics(scored_labels(spark, sf_dir), "label", "prediction", "score")
+    info = M.run_info(m, "models:/length/1", "run-1", "dev")
+    return info.select("model_uri", "run_id", "env", F.explode("metrics").alias("metric", "value")).withColumn("value", r6("value"))
+
+
+@query("score_requests", sql="""
+SELECT doc_id, CASE WHEN lang = 'de' THEN 'not a JSON object of the expected types' WHEN lang = 'fr' THEN 'lacks n_chars, source'
+                    WHEN source IS NULL THEN 'no value for source' END AS reason,
+       CASE WHEN lang NOT IN ('de', 'fr') THEN n_chars END AS n_chars
+FROM documents
+""")
+def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as JSON requests, some cut off or incomplete: parsed, with the reason why one cannot be scored."""
+    from pyspark.sql import types as T
+
+    from tabrix.operators import score as SC
+
+    whole = F.to_json(F.struct("doc_id", "lang", "source", "n_chars"), {"ignoreNullFields": "false"})
+    raw = table(spark, sf_dir, "documents").select("doc_id", F.when(
+        F.col("lang") == "de", F.concat(F.lit('{"doc_id":'), F.col("doc_id"), F.lit(', "lang"'))).when(
+        F.col("lang") == "fr", F.to_json(F.struct("doc_id", "lang"))).otherwise(whole).alias("value"))
+    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
+    # the request's own key is carried in the line
+    key = F.regexp_extract("request", '"doc_id":([0-9]+)', 1).cast("long").alias("doc_id")
+    out = SC.checked_requests(raw.drop("doc_id"), schema, ["lang", "n_chars", "source"], ["source"])
+    return out.select(key, "reason", "n_chars")
