@@ -143,7 +143,9 @@ def test_tree_learners_reload_and_rank(spark, tmp_path):
         a = [tuple(r) for r in M.predict(model, df, ["id"]).orderBy("id").collect()]
         assert a == [tuple(r) for r in M.predict(again, df, ["id"]).orderBy("id").collect()]
         assert abs(M.feature_importances(model).agg(F.sum("importance")).first()[0] - 1) < 1e-9
-        auc = sum((p[2] > q[2]) + 0.5 * (p[2] == q[2]) for p in a[1::2] for q in a[::2]) / (len(a) / 2) ** 2
+        held = M.build_pipeline(["x"], ["c"], None, algorithm, params).fit(df.where("fold != 0"))
+        a = [tuple(r) for r in M.predict(held, df.where("fold = 0"), ["label"]).collect()]
+        auc = sum((p[2] > q[2]) + 0.5 * (p[2] == q[2]) for p in a if p[0] == 1 for q in a if q[0] == 0) / (len(a) / 2) ** 2
         assert auc > 0.8
     with pytest.raises(ValueError):
         M.feature_importances(M.build_pipeline(["x"], [], None, "logistic_regression").fit(df))
