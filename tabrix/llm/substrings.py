@@ -9,19 +9,22 @@ one task, so equal strings are first brought together:
    anchor form a run (at most ``RUN`` windows). Equal windows have equal anchors.
    A run row is narrow: document, place, anchor and a fingerprint of its bytes.
 2. Anchors seen once in the corpus are dropped (counts with map-side combine).
-   Equal runs (anchor and fingerprint, 128 bits together) are counted and stand
-   for one *segment*, so a text copied a thousand times is handled once.
+   Equal runs (same anchor and BLAKE2 digest of the bytes) are counted and stand
+   for one *segment*, so a text copied a thousand times is handled once; if an
+   anchor's runs are all equal, all their windows are repeated.
 3. ``common_prefixes``: the segments of an anchor meet in one shard. Their
    Burrows-Wheeler transform is expanded backwards, breadth-first, from the empty
    string: the intervals of level ``l`` give the borders between suffixes whose
    common prefix has length ``l``, by increasing ``l``. At ``width`` it stops:
-   what no border separates by then shares ``width`` bytes or more.
+   what no border separates by then shares ``width`` bytes or more. An interval
+   that holds one suffix of one copy is dropped as it appears: every window around
+   that string is unique.
 4. The repeated windows of a segment go back to all its runs and become merged
    byte spans per document.
 
 Hot anchors: an anchor with more than ``HOT`` distinct segments (say the edge of
 a passage that very many documents share) is cut anew: each of its windows
-becomes a run of its own whose anchor is the fingerprint of the whole window. So
+becomes a run of its own, known by a 128-bit digest of the whole window. So
 such windows spread over all shards and are counted with map-side combine.
 
 Edge cases: NULL counts as empty; texts shorter than ``width`` bytes lose
@@ -34,6 +37,7 @@ name replaces an equal one.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +59,11 @@ _U = np.uint64
 
 
 class _Powers:
-    """Powers of an odd base and of its inverse modulo 2**64."""
+    """Powers of an odd base and of its inverse modulo 2**64.
+
+    The hashes place anchors; equal strings have equal ones, and nothing rests on
+    different strings having different ones.
+    """
 
     def __init__(self, base: int, n: int):
         self.up = self._powers(base, n)
@@ -72,9 +80,6 @@ class _Powers:
         np.cumsum((raw.astype(np.uint64) + _U(1)) * self.up[: len(raw)], out=out[1:])
         return out
 
-    def hashes(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return _mix((sums[end] - sums[start]) * self.down[start])
-
     def grams(self, sums: np.ndarray, size: int) -> np.ndarray:
         n = len(sums) - size
         return _mix((sums[size:] - sums[:n]) * self.down[:n])
@@ -89,11 +94,16 @@ def _mix(h: np.ndarray) -> np.ndarray:
 _MADE: list[_Powers] = []
 
 
-def _powers() -> tuple[_Powers, _Powers]:
+def _powers() -> _Powers:
     if not _MADE:
-        n = 2 * _BLOCK + WIDTH + 8
-        _MADE.extend((_Powers(0x5851F42D4C957F2D, n), _Powers(0xD1342543DE82EF95, n)))
-    return _MADE[0], _MADE[1]
+        _MADE.append(_Powers(0x5851F42D4C957F2D, 2 * _BLOCK + WIDTH + 8))
+    return _MADE[0]
+
+
+def digests(raw: bytes, start: np.ndarray, end: np.ndarray, size: int = 8) -> np.ndarray:
+    """Digests of pieces of ``raw``, as rows of 64-bit numbers."""
+    found = b"".join([blake2b(raw[a:b], digest_size=size).digest() for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+    return np.frombuffer(found, np.int64).reshape(-1, size // 8)
 
 
 def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
@@ -106,14 +116,13 @@ def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
 
 
 def block_runs(raw: np.ndarray, valid: np.ndarray, width: int, gram: int):
-    """Runs of a block: first window, windows, anchor, fingerprint, weight.
+    """Runs of a block: first window, windows, anchor, digest, weight.
 
     ``valid``: the windows that lie inside one document. Weight 2: the run holds
     its anchor twice, so two of its own windows may be equal.
     """
-    a, b = _powers()
-    sums = a.sums(raw)
-    g = a.grams(sums, gram)
+    a = _powers()
+    g = a.grams(a.sums(raw), gram)
     w = width - gram + 1
     m = _sliding(g, w, np.minimum)
     first = valid.copy()
@@ -138,8 +147,8 @@ def block_runs(raw: np.ndarray, valid: np.ndarray, width: int, gram: int):
         count[live] += g[anchors[lo[live]]] == key[live]
         lo[live] += 1
         live = live[(lo[live] < hi[live]) & (count[live] < 2)]
-    print_ = b.hashes(b.sums(raw), start, stop + width - 1)
-    return start, stop - start, key.view(np.int64), print_.view(np.int64), np.maximum(count, 1)
+    mark = digests(raw.tobytes(), start, stop + width - 1)[:, 0]
+    return start, stop - start, key.view(np.int64), mark, np.maximum(count, 1)
 
 
 def _blocks(texts: list[bytes], width: int):
@@ -162,7 +171,7 @@ def _blocks(texts: list[bytes], width: int):
 
 
 def text_runs(texts: list[bytes], width: int, gram: int):
-    """Columns (text number, first window, windows, anchor, fingerprint, weight) of all runs."""
+    """Columns (text number, first window, windows, anchor, digest, weight) of all runs."""
     out = []
     for part in _blocks(texts, width):
         raw = np.frombuffer(b"".join(p for *_, p in part), np.uint8)
@@ -207,7 +216,11 @@ def common_prefixes(segments: list[bytes], copies: np.ndarray, width: int) -> np
     border = np.zeros(n + 1, bool)
     border[[0, n]] = True
     lo, hi = np.zeros(1, np.int64), np.full(1, n, np.int64)
-    for _ in range(width):
+    owner = np.repeat(np.arange(len(segments)), size + 1)
+    once = copies[owner[order]] == 1
+    # change of the number of unique strings that a window holds, from the window width places before
+    steps = np.zeros(n + width + 2, np.int32)
+    for level in range(1, width + 1):
         _, symbol, lo, hi = wavelet.branch(lo, hi, lo)
         text = symbol > 0  # strings never run over a segment's end
         symbol, lo, hi = symbol[text], lo[text], hi[text]
@@ -216,12 +229,18 @@ def common_prefixes(segments: list[bytes], copies: np.ndarray, width: int) -> np
         # the last suffix starting with a symbol ends at a border of its own level
         lo, hi = lo[new], hi[new]
         border[hi] = True
+        # a string that is found once makes every window around it unique, so it is not expanded;
+        # a border that only its expansion would have set lies next to such a window
+        alone = (hi - lo == 1) & once[lo]
+        at = order[lo[alone]]
+        steps[at + level] += 1
+        steps[at + width + 1] -= 1
+        lo, hi = lo[~alone], hi[~alone]
         if not len(lo):
             break
-    # the whole windows among the suffixes, and their groups between borders
+    # the whole windows among the suffixes that may be repeated, and their groups between borders
     room = np.repeat(ends - 1, size + 1) - np.arange(n)
-    whole = room >= width
-    owner = np.repeat(np.arange(len(segments)), size + 1)
+    whole = (room >= width) & (np.cumsum(steps)[width: width + n] == 0)
     group = np.cumsum(border[:-1])
     sorted_whole = whole[order]
     weight = np.where(sorted_whole, copies[owner[order]], 0)
@@ -267,22 +286,19 @@ def _cut_segments(width: int):
 
 
 def _cut_windows(width: int):
-    """Two fingerprints of every window of the wanted runs of each text."""
+    """The digest of every window of the wanted runs of each text, in two halves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = _powers()
         for batch in batches:
             texts, want = texts_of(batch.column(2).field("t")), batch.column(3)
             row = np.repeat(np.arange(len(texts)), np.diff(want.offsets.to_numpy()))
             flat = want.flatten()
             for r, start, n in zip(row.tolist(), flat.field("start").to_pylist(), flat.field("n").to_pylist(), strict=True):
-                raw = np.frombuffer(texts[r], np.uint8)[start: start + n + width - 1]
-                at = np.arange(n)
+                at = np.arange(start, start + n)
+                halves = digests(texts[r], at, at + width, 16)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(batch.column(0)[r], n), pa.repeat(batch.column(1)[r], n), pa.array(at + start),
-                     pa.array(a.hashes(a.sums(raw), at, at + width).view(np.int64)),
-                     pa.array(b.hashes(b.sums(raw), at, at + width).view(np.int64))],
-                    names=["h1", "h2", "start", "anchor", "mark"])
+                    [pa.repeat(batch.column(0)[r], n), pa.repeat(batch.column(1)[r], n), pa.array(at),
+                     *(pa.array(np.ascontiguousarray(h)) for h in halves.T)], names=["h1", "h2", "start", "anchor", "mark"])
 
     return run
 
@@ -386,9 +402,11 @@ def remove_repeats(docs: DataFrame, key: str, text: str = "text", carry: list[st
     place = F.min(F.struct("h1", "h2", "start")).alias("at")
     segments = staged(found.groupBy("anchor", "mark").agg(F.count(F.lit(1)).alias("copies"), place, F.max("n").alias("n")),
                       "repeat-segments")
-    crowded = segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > hot).select("anchor")
-    crowded = staged(crowded, "repeat-hot")
-    calm = segments.join(crowded, "anchor", "left_anti")
+    by_anchor = segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.max("copies").alias("copies"), F.max("mark").alias("mark"), F.max("n").alias("n"))
+    # anchors whose runs are all equal, and hot ones
+    settled = staged(by_anchor.where(((F.col("c") == 1) & (F.col("copies") > 1)) | (F.col("c") > hot)), "repeat-settled")
+    equal, crowded = settled.where(F.col("c") == 1), settled.where(F.col("c") > 1).select("anchor")
+    calm = segments.join(settled.select("anchor"), "anchor", "left_anti")
     total = calm.agg(F.coalesce(F.sum(F.col("n") + (width - 1)), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_bytes))
 
@@ -398,7 +416,9 @@ def remove_repeats(docs: DataFrame, key: str, text: str = "text", carry: list[st
         _cut_segments(width), "anchor bigint, mark bigint, copies bigint, segment binary")
     ranges = bytes_of.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(shards))).applyInArrow(
         _expand_shard(width), f"anchor bigint, mark bigint, ranges {_RANGES}")
-    hits = found.join(ranges, ["anchor", "mark"]).select("h1", "h2", "start", "ranges")
+    whole_run = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("n").cast("long").alias("b")))
+    ranges = ranges.unionByName(equal.select("anchor", "mark", whole_run.alias("ranges")))
+    hits = found.drop("n").join(ranges, ["anchor", "mark"]).select("h1", "h2", "start", "ranges")
 
     if not crowded.isEmpty():
         lots = found.join(crowded, "anchor", "left_semi").select("h1", "h2", "start", "n").distinct()
@@ -411,7 +431,8 @@ def remove_repeats(docs: DataFrame, key: str, text: str = "text", carry: list[st
         more = windows.join(twice, ["anchor", "mark"], "left_semi").select("h1", "h2", "start", one.alias("ranges"))
         hits = hits.unionByName(more)
 
-    by_row = hits.groupBy("h1", "h2").agg(F.collect_list(F.struct("start", "ranges")).alias("hits"))
+    # a set: rows that repeat a document whole have the same hits
+    by_row = hits.groupBy("h1", "h2").agg(F.collect_set(F.struct("start", "ranges")).alias("hits"))
     rows = keyed.join(by_row, ["h1", "h2"], "left").select("row", "hits")
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
     added = ["n_bytes bigint", "spans array<struct<start:bigint,end:bigint>>", "kept binary"]

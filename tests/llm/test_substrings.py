@@ -66,3 +66,49 @@ def test_runs_cover_each_window_once_also_in_long_texts(monkeypatch):
         assert mine[0][0] == 0 and sum(k for _, k in mine) == size - 199
         assert all(a + k == b for (a, k), (b, _) in zip(mine, mine[1:], strict=False))
     assert set(number.tolist()) == {1, 3}
+
+
+def test_copies_and_dropped_intervals_on_weighted_segments():
+    rng = random.Random(6)
+    for _ in range(30):
+        width = rng.choice([6, 9, 16])
+        texts = [bytes(rng.choices(b"ab" if rng.random() < 0.5 else b"abcdef", k=rng.randint(width, 90))) for _ in range(8)]
+        texts = list(dict.fromkeys(texts))
+        copies = np.array([rng.choice([1, 1, 3]) for _ in texts])
+        flags, at = substrings.common_prefixes(texts, copies, width), 0
+        seen = Counter()
+        for t, c in zip(texts, copies.tolist(), strict=True):
+            for i in range(len(t) - width + 1):
+                seen[t[i: i + width]] += c
+        for t in texts:
+            n = len(t) - width + 1
+            assert flags[at: at + n].tolist() == [seen[t[i: i + width]] > 1 for i in range(n)]
+            at += len(t) + 1
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("hot", [4000, 0])
+def test_strings_that_polynomial_hashes_confuse(spark, hot):
+    tm = thue_morse(2048)
+    other = tm.translate(str.maketrans("ab", "ba"))
+    rows = [(1, "1" + tm + "1", "en", "s", 1), (2, "2" + other + "2", "en", "s", 1), (3, other[:1500], "en", "s", 1)]
+    out = substrings.remove_repeats(spark.createDataFrame(rows, SCHEMA), "doc_id", hot=hot, carry=["doc_id"]).collect()
+    want = expected([r[1].encode() for r in rows], 200)
+    assert {r.doc_id: [tuple(s) for s in r.spans] for r in out} == {r[0]: s for r, (s, _) in zip(rows, want, strict=True)}
+
+
+def test_thousands_of_equal_rows(spark):
+    import time
+
+    rng = random.Random(2)
+    text = " ".join(f"w{rng.randrange(10_000)}" for _ in range(900))
+    times = []
+    for rows in ([(i, text, "en", "s", 1) for i in range(5000)], [(None, text, "en", "s", 1)] * 5000):
+        t = time.perf_counter()
+        out = substrings.remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(8), "doc_id", carry=["doc_id"]).collect()
+        times.append(time.perf_counter() - t)
+        assert len(out) == 5000 and all(r.kept == b"" and len(r.spans) == 1 for r in out)
+    assert times[1] < 5 * times[0] + 20
