@@ -312,9 +312,17 @@ def _expand_shard(width: int):
         new[1:] = (np.diff(anchor[order]) != 0) | (np.diff(mark[order]) != 0)
         table = table.take(pa.array(order[new]))
         segments = table.column("segment").to_pylist()
-        flags = common_prefixes(segments, table.column("copies").to_numpy(), width)
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
+        # an anchor with one segment of several copies: every window of it is repeated
+        anchor, copies = table.column("anchor").to_numpy(), table.column("copies").to_numpy()
+        _, group, count = np.unique(anchor, return_inverse=True, return_counts=True)
+        equal = (count[group] == 1) & (copies > 1)
+        asked = np.flatnonzero(~equal)
         size = np.array([len(s) + 1 for s in segments])
+        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        flags = np.repeat(equal, size) & (place <= np.repeat(size - 1 - width, size))
+        if len(asked):
+            flags[np.repeat(~equal, size)] = common_prefixes([segments[i] for i in asked], copies[asked], width)
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
         begin = np.cumsum(size) - size
         owner = np.searchsorted(begin, edges[::2], "right") - 1
         counts = np.bincount(owner, minlength=len(segments))
@@ -402,11 +410,9 @@ def remove_repeats(docs: DataFrame, key: str, text: str = "text", carry: list[st
     place = F.min(F.struct("h1", "h2", "start")).alias("at")
     segments = staged(found.groupBy("anchor", "mark").agg(F.count(F.lit(1)).alias("copies"), place, F.max("n").alias("n")),
                       "repeat-segments")
-    by_anchor = segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.max("copies").alias("copies"), F.max("mark").alias("mark"), F.max("n").alias("n"))
-    # anchors whose runs are all equal, and hot ones
-    settled = staged(by_anchor.where(((F.col("c") == 1) & (F.col("copies") > 1)) | (F.col("c") > hot)), "repeat-settled")
-    equal, crowded = settled.where(F.col("c") == 1), settled.where(F.col("c") > 1).select("anchor")
-    calm = segments.join(settled.select("anchor"), "anchor", "left_anti")
+    crowded = segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > hot).select("anchor")
+    crowded = staged(crowded, "repeat-hot")
+    calm = segments.join(crowded, "anchor", "left_anti")
     total = calm.agg(F.coalesce(F.sum(F.col("n") + (width - 1)), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_bytes))
 
@@ -416,9 +422,7 @@ def remove_repeats(docs: DataFrame, key: str, text: str = "text", carry: list[st
         _cut_segments(width), "anchor bigint, mark bigint, copies bigint, segment binary")
     ranges = bytes_of.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(shards))).applyInArrow(
         _expand_shard(width), f"anchor bigint, mark bigint, ranges {_RANGES}")
-    whole_run = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("n").cast("long").alias("b")))
-    ranges = ranges.unionByName(equal.select("anchor", "mark", whole_run.alias("ranges")))
-    hits = found.drop("n").join(ranges, ["anchor", "mark"]).select("h1", "h2", "start", "ranges")
+    hits = found.join(ranges, ["anchor", "mark"]).select("h1", "h2", "start", "ranges")
 
     if not crowded.isEmpty():
         lots = found.join(crowded, "anchor", "left_semi").select("h1", "h2", "start", "n").distinct()
