@@ -1,7 +1,8 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
 Every step is joins and minima on edge rows: a node of any degree is summed
-map-side and never collected. Each step is written to the shared folder, which
+map-side and never collected, and the rows of hub nodes are joined where they lie
+(``operators.keyed.join_unique``). Each step is written to the shared folder, which
 bounds the lineage. Components longer than a star halve their depth per round.
 """
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabrix.llm.common import staged
+from tabrix.operators.keyed import hot_keys, join_unique
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -25,10 +27,10 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     while mark[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+        large = join_unique(both.where("v > u"), low, ["u"], hot=hot_keys(both, ["u"])).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         now = staged(large.distinct(), "large-star")
         low = now.groupBy("u").agg(F.min("v").alias("m"))
-        small = now.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = join_unique(now, low, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(low.select("u", F.col("m").alias("v"))).where("u != v")
         now = staged(small.distinct(), "small-star")
         before, mark = mark, _mark(now)

@@ -19,8 +19,8 @@ Each set goes to one cluster only, not to every band. Of a cluster only links
 that join parts leave a task, so no pairs are emitted; pairs inside a joined
 part are not looked at. Clusters above ``block`` sets are cut into blocks, and a
 task compares two blocks, so a cluster of any size is compared whole, with
-bounded memory. The chance that two sets at the threshold 0.85 share no band is
-``(1 - 0.85**5)**25`` = 4e-7.
+bounded memory. The chance that two sets share no band is ``(1 - 0.85**5)**25`` =
+4e-7 at the similarity 0.85, and 5e-5 at 0.80.
 
 Edge cases: NULL and empty texts, and texts without words, have an empty set and
 are linked with nothing; a text of fewer than five words is one shingle; equal
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,12 +51,9 @@ BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 MARGIN = 0.2
 BLOCK = 1500
 _U = np.uint64
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_LOWER = np.arange(256, dtype=np.uint64)
-_LOWER[0x41:0x5B] += _U(32)
-_LOWER += _U(1)
-_ODD = 0x5851F42D4C957F2D
+_FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+#: Words whose hash a worker remembers, and bytes of text split at a time.
+REMEMBERED, PIECE = 500_000, 1 << 22
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -64,32 +62,43 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-_POWERS: list[np.ndarray] = []
+class _Hashes(dict):
+    """64-bit XXH3 of words."""
 
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
-        out = []
-        for base in (_ODD, pow(_ODD, -1, 1 << 64)):
-            p = np.full(max(n, 1 << 20), base, np.uint64)
-            p[0] = 1
-            out.append(np.multiply.accumulate(p))
-        _POWERS[:] = out
-    return _POWERS[0], _POWERS[1]
+
+_HASHES = _Hashes()
+
+
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A text in pieces of about ``PIECE`` bytes, cut at blanks."""
+    a = 0
+    while len(text) - a > PIECE:
+        b = text.rfind(b" ", a, a + PIECE)
+        b = text.find(b" ", a + PIECE) if b <= a else b
+        if b < 0:
+            break
+        yield text[a:b]
+        a = b
+    yield text[a:]
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word of all texts in order, words of each text)."""
-    buf = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    inside = ~_SPACE[buf]
-    edge = np.flatnonzero(np.diff(np.concatenate([[False], inside]).astype(np.int8)))
-    start, end = edge[::2], edge[1::2]
-    up, down = _powers(len(buf))
-    sums = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_LOWER[buf] * up[: len(buf)], out=sums[1:])
-    word = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
-    return word, np.diff(np.searchsorted(start, begins))
+    """(hash of every word of all texts in order, words of each text); words are lower-cased (A-Z)."""
+    out, count = [np.zeros(0, np.uint64)], []
+    for text in texts:
+        n = 0
+        for piece in _pieces(text):
+            words = piece.translate(_FOLD).split()
+            if len(_HASHES) > REMEMBERED:
+                _HASHES.clear()
+            out.append(np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words)))
+            n += len(words)
+        count.append(n)
+    return np.concatenate(out), np.array(count, np.int64)
 
 
 def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -211,7 +220,8 @@ class _Parts:
         return linked
 
 
-def link_block(sketches: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None) -> list[tuple[int, int]]:
+def link_block(sketches: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None,
+               percent: int = PERCENT) -> list[tuple[int, int]]:
     """Verified links that join the members' parts.
 
     ``side``: compare only members of different sides (None: all).
@@ -227,7 +237,7 @@ def link_block(sketches: np.ndarray, sets: list[np.ndarray], side: np.ndarray |
     for i in np.argsort(-(sketches == centre).sum(axis=1), kind="stable"):
         done[i] = True
         small, large = np.minimum(size, size[i]), np.maximum(size, size[i])
-        ask = ~done & (parts.of != parts.of[i]) & (100 * small >= PERCENT * large)
+        ask = ~done & (parts.of != parts.of[i]) & (100 * small >= percent * large)
         if side is not None:
             ask &= side != side[i]
         j = np.flatnonzero(ask)
@@ -235,7 +245,7 @@ def link_block(sketches: np.ndarray, sets: list[np.ndarray], side: np.ndarray |
             continue
         larger, smaller = (sketches[i] > sketches[j]).sum(axis=1), (sketches[i] < sketches[j]).sum(axis=1)
         guess = estimate(larger, smaller, np.full(len(j), float(size[i])), size[j].astype(float), sketches.shape[1])
-        j = j[guess >= PERCENT / 100 - MARGIN]
+        j = j[guess >= percent / 100 - MARGIN]
         if not len(j):
             continue
         own = sets[i]
@@ -243,24 +253,30 @@ def link_block(sketches: np.ndarray, sets: list[np.ndarray], side: np.ndarray |
         other = flat[place]
         at = np.minimum(np.searchsorted(own, other), len(own) - 1)
         common = np.add.reduceat((own[at] == other).astype(np.int64), np.cumsum(size[j]) - size[j])
-        good = j[100 * common >= PERCENT * (size[i] + size[j] - common)]
+        good = j[100 * common >= percent * (size[i] + size[j] - common)]
         if len(good):
             links += [(int(i), int(k)) for k in parts.join(i, good)]
     return links
 
 
-def _link(key, table):
-    two = key[1].as_py() != key[2].as_py()
-    label = table.column("label").to_numpy()
-    sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(label), -1)
-    sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
-    links = link_block(sketches, sets, table.column("block").to_numpy() if two else None)
-    return pa.table([pa.array([int(label[i]) for i, _ in links], pa.int64()),
-                     pa.array([int(label[j]) for _, j in links], pa.int64())], names=["a", "b"])
+def _link(percent: int):
+    def run(key, table):
+        two = key[1].as_py() != key[2].as_py()
+        label = table.column("label").to_numpy()
+        sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(label), -1)
+        sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
+        links = link_block(sketches, sets, table.column("block").to_numpy() if two else None, percent)
+        return pa.table([pa.array([int(label[i]) for i, _ in links], pa.int64()),
+                         pa.array([int(label[j]) for _, j in links], pa.int64())], names=["a", "b"])
 
+    return run
 
-def near_duplicates(docs: DataFrame, key: str, text: str = "text", block: int = BLOCK) -> DataFrame:
-    """(key, n_shingles, component_id, kept) of every row of ``docs``; ``key`` is an integer."""
+
+def near_duplicates(docs: DataFrame, key: str, text: str = "text", block: int = BLOCK, percent: int = PERCENT) -> DataFrame:
+    """(key, n_shingles, component_id, kept) of every row of ``docs``; ``key`` is an integer.
+
+    Documents are linked at a Jaccard similarity of ``percent`` / 100 or more.
+    """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     told = staged(rows.mapInArrow(_describe, "key bigint, n bigint, f1 bigint, f2 bigint, sketch binary"), "near-sketches")
     # sketches of equal sets are equal: any of them will do
@@ -287,7 +303,7 @@ def near_duplicates(docs: DataFrame, key: str, text: str = "text", block: int =
                         lambda x: F.struct(F.least(x, F.col("block")).alias("x"), F.greatest(x, F.col("block")).alias("y")))
     full = full.select(F.col("root.root").alias("root"), "label", "block", "sketch", "shingles", F.explode(pairs).alias("p"))
     links = full.select("root", "p.x", "p.y", "label", "block", "sketch", "shingles").groupBy("root", "x", "y").applyInArrow(
-        _link, "a bigint, b bigint")
+        _link(percent), "a bigint, b bigint")
     joined = staged(components(staged(links, "near-links"), "a", "b"), "near-components")
 
     named = classes.join(joined, F.col("label") == F.col("node"), "left").select(
