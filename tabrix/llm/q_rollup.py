@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tabrix.llm.common import scratch_path, slices, staged, table, texts_of
 from tabrix.llm.q_packing import vocabulary
 from tabrix.llm.rollup import Rollup, signed
+from tabrix.operators.keyed import join_unique
 
 BPE, WORDS = "word_bpe_49k", "words-1"
 
@@ -52,9 +53,10 @@ def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     counts = staged(token_counts(table(spark, sf_dir, "documents"), vocabulary()), "token-counts")
     first = counts.groupBy("text_id").agg(F.min("doc_id").alias("first"))
-    copies = counts.join(first, "text_id").where(F.col("doc_id") > F.col("first"))
+    copies = join_unique(counts, first, ["text_id"]).where(F.col("doc_id") > F.col("first"))
     gone = _changes(copies, "delete", WORDS, F.col("words")).unionByName(_changes(copies, "delete", BPE, F.col("bpe")))
-    rollup = Rollup(spark, scratch_path(spark, "rollup"))
+    # three batches to a base, so that the totals come from a base and later deltas
+    rollup = Rollup(spark, scratch_path(spark, "rollup"), fold=3)
     rollup.commit("load", signed(_changes(counts, "insert", WORDS, F.col("blanks"))))
     rollup.commit("tokenize", signed(_changes(counts, "insert", BPE, F.col("bpe"))))
     rollup.commit("recount", signed(_changes(counts.where("words != blanks"), "revise", WORDS, F.col("words"), F.col("blanks"))))
