@@ -10,7 +10,8 @@ merged into removal spans per document. The documents are never shuffled.
 
 The benchmark is the stated query set. It is dealt into blocks of about
 ``block_bytes``; a block is read to the driver and broadcast, one pass over the
-documents per block, so no broadcast grows with the benchmark.
+documents per block. A pass is written out and its block let go before the next
+begins, so neither the driver nor a worker holds more than one block.
 
 Phrases: ``width`` consecutive words of an item; an item of fewer words, but not
 none, is one phrase. Words are maximal runs of ASCII letters and digits and of
@@ -24,6 +25,7 @@ extra columns pass through, an added name replaces an equal one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -34,7 +36,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabrix.llm.bwt import FMIndex
-from tabrix.llm.common import slices, texts_of
+from tabrix.functions.nulls import quoted
+from tabrix.llm.common import slices, staged, texts_of
 
 WIDTH = 10
 SHARD_BYTES = 16 << 20
@@ -71,6 +74,15 @@ def words_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.n
 class Phrases:
     """The distinct phrases of a block of items, over the block's own vocabulary."""
 
+    _last: tuple[str, Phrases] | None = None
+
+    @classmethod
+    def of(cls, name: str, block, width: int) -> Phrases:
+        """The phrases of a block, made once per worker; a worker remembers one block."""
+        if cls._last is None or cls._last[0] != name:
+            cls._last = (name, cls(block.value, width))
+        return cls._last[1]
+
     def __init__(self, items: Sequence[tuple[str | None, str | None]], width: int):
         texts = [(t or "").encode() for _, t in items]
         words, at, _, begins = words_of(texts)
@@ -164,22 +176,31 @@ def decontaminate(docs: DataFrame, text: str, benchmark: DataFrame, item: str =
     blocks = max(1, -(-total // block_bytes))
     part = F.pmod(F.xxhash64("text", "item"), F.lit(blocks))
     names = [c for c in docs.columns if c.lower() not in ADDED]
-    out = docs.select(*names)
+    out = docs.select(*map(quoted, names))
+    if blocks > 1:
+        lines = staged(lines.withColumn("part", part), "benchmark-blocks")
     for b in range(blocks):
-        rows = [(r["item"], r["text"]) for r in lines.where(part == b).toLocalIterator()]
-        block = spark.sparkContext.broadcast(rows)
+        # one block of about ``block_bytes`` at a time is on the driver and in the workers
+        mine = lines.where(F.col("part") == b) if blocks > 1 else lines
+        block = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in mine.toLocalIterator()])
         last = b == blocks - 1
         kept = [c for c in names if not last or carry is None or c in carry]
         schema = T.StructType([out.schema[c] for c in kept] + [
             T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
             T.StructField("spans", _SPANS), T.StructField("items", T.ArrayType(T.StringType()))])
         out = out.mapInArrow(_pass(block, text, width, kept, b > 0), schema)
+        if not last:
+            # the pass ends here, and its block is let go
+            out = staged(out, "decontamination-pass")
+            block.destroy()
     return out
 
 
 def _pass(block, text: str, width: int, kept: list[str], again: bool):
+    name = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases = Phrases(block.value, width)
+        phrases = Phrases.of(name, block, width)
         for batch in batches:
             texts = texts_of(batch.column(text))
             for a, b in slices([len(t) for t in texts], SHARD_BYTES):
