@@ -435,8 +435,16 @@ def remove_repeats(docs: DataFrame, key: str, text: str = "text", carry: list[st
         more = windows.join(twice, ["anchor", "mark"], "left_semi").select("h1", "h2", "start", one.alias("ranges"))
         hits = hits.unionByName(more)
 
-    # a set: rows that repeat a document whole have the same hits
-    by_row = hits.groupBy("h1", "h2").agg(F.collect_set(F.struct("start", "ranges")).alias("hits"))
+    # rows that repeat a document whole have the same hits: theirs are a set
+    repeated = runs.where("start = 0").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    repeated = staged(repeated.select("h1", "h2", F.lit(True).alias("twin")), "repeat-rows")
+    entry = F.struct("start", "ranges")
+    if repeated.isEmpty():
+        entries = F.collect_list(entry)
+    else:
+        hits = hits.join(repeated, ["h1", "h2"], "left")
+        entries = F.concat(F.collect_list(F.when(F.col("twin").isNull(), entry)), F.collect_set(F.when(F.col("twin"), entry)))
+    by_row = hits.groupBy("h1", "h2").agg(entries.alias("hits"))
     rows = keyed.join(by_row, ["h1", "h2"], "left").select("row", "hits")
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
     added = ["n_bytes bigint", "spans array<struct<start:bigint,end:bigint>>", "kept binary"]
