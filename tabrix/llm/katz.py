@@ -16,12 +16,14 @@ Neither a vocabulary nor a pair table is ever in one place:
    partitions and gets the corpus totals of just those words back;
 3. each slice sends its distinct pairs, grouped by context, to the context
    partitions and gets back the totals of those pairs and the sums that
-   ``alpha`` needs per context;
+   ``alpha`` needs per context. The shares of a context that is spread are added
+   up in a round of their own, and each slice that has the context gets one row;
 4. each slice scores its documents, token by token, from pair to word to unknown.
 
 Slices pre-aggregate, so a frequent word or pair costs a partition one entry per
 slice; a context of more than ``SPLIT`` training tokens is spread over several
-partitions by its next word. Entries travel as packed arrays. Words are 64-bit
+partitions by its next word, and a slice asks only the shares that it has a pair
+in: what it sends does not grow with the corpus. Entries travel as packed arrays. Words are 64-bit
 hashes. Counts of counts are summed to one row of eight numbers, a scalar of the
 plan, which travels with the answers. A slice writes to a partition
 only what it has for it.
@@ -45,8 +47,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabrix.llm.common import slices, texts_of
+from tabrix.llm.common import slices, staged, texts_of
 from tabrix.llm.setsketch import mix, word_hashes
+from tabrix.operators.keyed import join_unique
 
 K = 5
 SLICE = 8 << 20
@@ -239,7 +242,7 @@ class _Pairs:
     """The distinct pairs of a slice in the order in which they are sent.
 
     An entry belongs to (context, share); a context of many tokens has several
-    shares, by next word, each of which is asked for even without a pair in it.
+    shares, by next word, of which a slice asks those that it has a pair in.
     """
 
     def __init__(self, code: np.ndarray, text: np.ndarray, types: np.ndarray, count: np.ndarray, parts: int, split: int):
@@ -253,16 +256,15 @@ class _Pairs:
         # the begin of a text is as frequent as its end
         ends = count[np.searchsorted(types, END)] if len(types) else 0
         shares = 1 + np.append(count, ends) // split
-        used = np.unique(self.context)
-        self.used = np.repeat(used, shares[used])
-        share = np.arange(len(self.used)) - np.repeat(np.cumsum(shares[used]) - shares[used], shares[used])
-        self.home = _home(name[self.used] + share.astype(np.uint64) * _U(0xD1342543DE82EF95), parts)
-        self.name = name[self.used] + share.astype(np.uint64) * _U(0x2545F4914F6CDD1D)  # in order of the hashes
-        # entry of each pair
-        mine = (mix(types[self.next]) % shares[self.context].astype(np.uint64)).astype(np.int64)
-        base = np.zeros(begin + 1, np.int64)
-        base[used] = np.cumsum(shares[used]) - shares[used]
-        self.entry = base[self.context] + mine
+        # a share of each pair, and the entries that are left: a context and a share with a pair in it
+        share = (mix(types[self.next]) % shares[self.context].astype(np.uint64)).astype(np.int64)
+        most = int(shares.max(initial=1))
+        entries, self.entry = np.unique(self.context * most + share, return_inverse=True)
+        self.used, share = np.divmod(entries, most)
+        self.split = shares[self.used] > 1
+        self.whole = name[self.used]  # the context's own name
+        self.home = _home(self.whole + share.astype(np.uint64) * _U(0xD1342543DE82EF95), parts)
+        self.name = self.whole + share.astype(np.uint64) * _U(0x2545F4914F6CDD1D)  # in order of the hashes
         # send by home, then entry, then pair
         self.entry_order = np.argsort(self.home, kind="stable")
         rank = np.empty(len(self.used), np.int64)
@@ -286,46 +288,81 @@ def _ask_pairs(parts: int, split: int):
             # each distinct next word once, with its training count
             words, index = np.unique(pairs.next[w], return_inverse=True)
             out.append(_pack(pairs.name[e], pairs.size[e].astype(np.uint32), types[words], count[words],
-                             index.astype(np.uint16 if len(words) < 1 << 16 else np.uint32), train[w], stats))
+                             index.astype(np.uint16 if len(words) < 1 << 16 else np.uint32), train[w], stats,
+                             np.flatnonzero(pairs.split[e]).astype(np.uint32), pairs.whole[e][pairs.split[e]]))
         return _loads(filled, key[0].as_py(), out)
 
     return run
 
 
+class _Sums:
+    """What a partition adds up from the loads of all slices, per (context, share) and per pair."""
+
+    def __init__(self, table: pa.Table):
+        self.loads = loads = [_unpack(x) for x in table.column("load").to_pylist()]
+        unigram = Unigram(loads[0][6])
+        names, self.name = np.unique(np.concatenate([x[0] for x in loads]), return_inverse=True)
+        owner = np.repeat(self.name, np.concatenate([x[1] for x in loads]))
+        word = np.concatenate([x[2][x[4]] for x in loads])
+        # distinct (context, word): sort by context, then word
+        order = np.lexsort((word, owner))
+        o, w = owner[order], word[order]
+        new = np.ones(len(o), bool)
+        new[1:] = (o[1:] != o[:-1]) | (w[1:] != w[:-1])
+        self.code = code = np.empty(len(o), np.int64)
+        code[order] = np.cumsum(new) - 1
+        self.total = total = np.bincount(code, weights=np.concatenate([x[5] for x in loads]).astype(np.float64)).astype(np.int64)
+        context = o[new]
+        known = np.zeros(len(total), np.int64)
+        known[code] = np.concatenate([x[3][x[4]] for x in loads])
+        seen = total > 0
+        n = len(names)
+        self.after = np.bincount(context, weights=total, minlength=n).astype(np.uint32)
+        # the mass of P(w) after a context: of one word its training count says it, and is a small number
+        self.several = np.bincount(context[seen], minlength=n) > 1
+        self.mass = np.bincount(context[seen], weights=unigram(known[seen]), minlength=n)
+        single = np.bincount(context[seen], weights=known[seen], minlength=n)
+        self.single = np.where(self.several, 0, single).astype(np.uint32)
+        self.low = [np.bincount(context[total == r], minlength=n).astype(np.uint32) for r in range(1, K + 1)]
+
+    def sums(self) -> np.ndarray:
+        """Tokens, mass of P(w) and pairs by count, per name: what shares of a context add up."""
+        return np.stack([self.after, self.mass, *self.low], axis=1).astype(np.float64)
+
+
+def _tell_pairs(key, table):
+    """Counts of counts (slice -1), sums of the shares of split contexts (-2), and who asks for those contexts."""
+    sums = _Sums(table)
+    at, wanted, own = 0, [], {}
+    for slice_, x in zip(table.column("slice").to_pylist(), sums.loads, strict=True):
+        wanted += [(slice_, int(c)) for c in x[8].view(np.int64).tolist()]
+        own.update(zip(sums.name[at:][x[7]].tolist(), x[8].view(np.int64).tolist(), strict=True))
+        at += len(x[0])
+    each = sums.sums()
+    rows = [(-1, None, _stats(sums.total).tolist()), *((-2, c, each[i].tolist()) for i, c in own.items()), *((s, c, None) for s, c in wanted)]
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.list_(pa.float64())), strict=True)],
+                    names=["slice", "context", "sums"])
+
+
 def _sum_pairs(key, table):
-    loads = [_unpack(x) for x in table.column("load").to_pylist()]
-    unigram = Unigram(loads[0][6])
-    names, name = np.unique(np.concatenate([x[0] for x in loads]), return_inverse=True)
-    owner = np.repeat(name, np.concatenate([x[1] for x in loads]))
-    word = np.concatenate([x[2][x[4]] for x in loads])
-    # distinct (context, word): sort by context, then word
-    order = np.lexsort((word, owner))
-    o, w = owner[order], word[order]
-    new = np.ones(len(o), bool)
-    new[1:] = (o[1:] != o[:-1]) | (w[1:] != w[:-1])
-    code = np.empty(len(o), np.int64)
-    code[order] = np.cumsum(new) - 1
-    total = np.bincount(code, weights=np.concatenate([x[5] for x in loads]).astype(np.float64)).astype(np.int64)
-    context = o[new]
-    known = np.zeros(len(total), np.int64)
-    known[code] = np.concatenate([x[3][x[4]] for x in loads])
-    seen = total > 0
-    n = len(names)
-    tokens_after = np.bincount(context, weights=total, minlength=n).astype(np.uint32)
-    # the mass of P(w) after a context: of one word its training count says it, and is a small number
-    several = np.bincount(context[seen], minlength=n) > 1
-    mass = np.bincount(context[seen], weights=unigram(known[seen]), minlength=n)
-    single = np.bincount(context[seen], weights=known[seen], minlength=n)
-    single = np.where(several, 0, single).astype(np.uint32)
-    low = [np.bincount(context[total == r], minlength=n).astype(np.uint32) for r in range(1, K + 1)]
-    stats, at, entry, out = _stats(total), 0, 0, []
-    for x in loads:
-        mine = name[entry: entry + len(x[0])]
-        out.append(_pack(total[code[at: at + len(x[4])]].astype(np.uint32), tokens_after[mine], several[mine].view(np.uint8),
-                         mass[mine[several[mine]]], single[mine], *(m[mine] for m in low)))
+    sums = _Sums(table)
+    at, entry, out = 0, 0, []
+    for x in sums.loads:
+        mine = sums.name[entry: entry + len(x[0])]
+        several = sums.several[mine]
+        out.append(_pack(sums.total[sums.code[at: at + len(x[4])]].astype(np.uint32), sums.after[mine], several.view(np.uint8),
+                         sums.mass[mine[several]], sums.single[mine], *(m[mine] for m in sums.low)))
         at += len(x[4])
         entry += len(x[0])
-    return _replies(table, out, stats, 2)
+    n = len(out)
+    return pa.table([table.column("slice"), table.column("part"), pa.array([2] * n, pa.int32()), pa.array(out, pa.binary())],
+                    names=["slice", "part", "round", "load"])
+
+
+def _split_totals(answers: pa.Table) -> dict[int, list[float]]:
+    """Corpus sums of the split contexts that a slice asked for."""
+    rows = zip(*(answers.column(c).to_pylist() for c in ("round", "load", "stats")), strict=True)
+    return {int.from_bytes(load, "big"): sums for r, load, sums in rows if r == 3}
 
 
 def _score(parts: int, split: int):
@@ -343,9 +380,12 @@ def _score(parts: int, split: int):
         own[several.astype(bool)] = mass
         sums = np.zeros((K + 2, len(pairs.used)))
         sums[:, pairs.entry_order] = np.stack([after, own, *low])
-        # shares of a context add up
-        contexts, share = np.unique(pairs.used, return_inverse=True)
-        sums = np.stack([np.bincount(share, weights=s, minlength=len(contexts)) for s in sums])
+        # the shares of a split context are summed over the corpus
+        contexts, at = np.unique(pairs.used, return_index=True)
+        sums = sums[:, at]
+        whole = _split_totals(answers)
+        for i in np.flatnonzero(pairs.split[at]):
+            sums[:, i] = whole[int(pairs.whole[at[i]])]
         after, mass, low = sums[0], sums[1], sums[2:]
         d = discounts(_totals(answers, 2))
         left = ((1 - d[1:, None]) * np.arange(1, K + 1)[:, None] * low).sum(axis=0) / np.maximum(after, 1)
@@ -370,21 +410,32 @@ _COLUMNS = ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_scor
 
 
 def katz_scores(docs: DataFrame, key: str, text: str, held_out, slice_bytes: int = SLICE,
-                split: int = SPLIT) -> DataFrame:
+                split: int = SPLIT, stored: bool = True) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
-    ``held_out``: a boolean column; the other rows are the training text.
+    ``held_out``: a boolean column; the other rows are the training text. ``stored``:
+    ``docs`` is read from files, so that a task that runs again cuts the same slices;
+    anything else is written first.
     """
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     # a partition holds what about two slices send
     parts = max(1, -(-size // (2 * slice_bytes)))
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"),
                        F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    rows = rows if stored else staged(rows, "katz-documents")
     cut = rows.mapInArrow(_cut_slices(slice_bytes), "slice bigint, block binary")
     load, answer = "part int, slice bigint, load binary", "slice bigint, part int, round int, load binary, stats array<double>"
     words = _with_totals(cut.groupBy("slice").applyInArrow(_ask_words(parts), load).groupBy("part").applyInArrow(_sum_words, answer))
     asked = cut.groupBy("slice").cogroup(words.groupBy("slice")).applyInArrow(_ask_pairs(parts, split), load)
-    both = words.unionByName(_with_totals(asked.groupBy("part").applyInArrow(_sum_pairs, answer)))
+    # counts of counts, and what only all shares of a context together know
+    told = staged(asked.groupBy("part").applyInArrow(_tell_pairs, "slice bigint, context bigint, sums array<double>"), "katz-sums")
+    stats = told.where("slice = -1").agg(F.array(*[F.sum(F.col("sums")[i]) for i in range(_STATS)]).alias("stats")).scalar()
+    shares = told.where("slice = -2").groupBy("context").agg(F.array(*[F.sum(F.col("sums")[i]) for i in range(K + 2)]).alias("stats"))
+    wanted = staged(told.where("slice >= 0").select("slice", "context").distinct(), "katz-wanted")
+    whole = join_unique(wanted, shares, ["context"]).select(
+        "slice", F.lit(-1).alias("part"), F.lit(3).alias("round"), F.unhex(F.lpad(F.hex("context"), 16, "0")).alias("load"), "stats")
+    pairs = asked.groupBy("part").applyInArrow(_sum_pairs, "slice bigint, part int, round int, load binary").withColumn("stats", stats)
+    both = words.unionByName(pairs).unionByName(whole)
     out = cut.groupBy("slice").cogroup(both.groupBy("slice")).applyInArrow(
         _score(parts, split), f"key {docs.schema[key].dataType.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, "
                               "train_tokens bigint, base_score double, score double")
