@@ -23,6 +23,8 @@ from tabrix.llm.setsketch import near_duplicates
 from tabrix.llm.substrings import remove_repeats
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Shared shingles of near copies, in percent of all shingles of both.
+NEAR_PERCENT = 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +38,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays."""
     docs = docs.select(*COLUMNS)
-    kept = near_duplicates(docs, "doc_id").where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    kept = near_duplicates(docs, "doc_id", percent=NEAR_PERCENT).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
     # rows that repeat a document whole; the join has dealt them by id already
     again = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source", "lang")
