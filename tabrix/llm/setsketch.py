@@ -8,18 +8,20 @@ mergeable (the minimum of two sketches is the sketch of the union). A minimum
 spaced values. Equal registers are as likely as sets are alike, so
 
 1. equal sets become one class (label: smallest key), by a 128-bit fingerprint;
-2. ``BANDS`` bands of ``ROWS`` registers are hashed; classes that share a band
-   are in one candidate cluster (the components of band member - band minimum);
-3. inside a cluster, pairs are estimated jointly from how many registers are
-   larger, smaller and equal (maximum likelihood), pairs well below the
-   threshold are dropped, and the rest is verified on the full shingle sets;
+2. ``BANDS`` bands of ``ROWS`` registers are hashed; of classes that share a band,
+   pairs are estimated jointly from how many registers are larger, smaller and
+   equal (maximum likelihood), and pairs well below the threshold are dropped;
+3. the components of the pairs that are left are the candidate clusters, whose
+   sets are verified in full;
 4. verified links give the components.
 
-Each set goes to one cluster only, not to every band. Of a cluster only links
-that join parts leave a task, so no pairs are emitted; pairs inside a joined
-part are not looked at. Clusters above ``block`` sets are cut into blocks, and a
-task compares two blocks, so a cluster of any size is compared whole, with
-bounded memory. The chance that two sets share no band is ``(1 - 0.85**5)**25`` =
+Sharing a band alone joins nothing: documents with the same boilerplate meet in a
+band, but only those whose sketches say that they may be near copies are clustered.
+Bands take sketches; each set goes to one cluster only. Of a large band and of a
+cluster only links that join parts leave a task; pairs inside a joined part are not
+looked at. Bands and clusters above a bound are cut into blocks, and a
+task compares two blocks, so a group of any size is compared whole, with bounded
+memory. The chance that two sets share no band is ``(1 - 0.85**5)**25`` =
 4e-7 at the similarity 0.85, and 5e-5 at 0.80.
 
 Edge cases: NULL and empty texts, and texts without words, have an empty set and
@@ -41,6 +43,7 @@ from pyspark.sql import functions as F
 
 from tabrix.llm.common import slices, staged, texts_of
 from tabrix.llm.graph import components
+from tabrix.operators.keyed import join_unique
 
 SHINGLE = 5
 PERCENT = 85
@@ -49,11 +52,16 @@ M = ROWS * BANDS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 #: A pair is verified unless its estimate is this far below the threshold (six standard errors).
 MARGIN = 0.2
-BLOCK = 1500
+#: Sets of a cluster, and sketches of a band, that are compared in one task.
+BLOCK, BAND_BLOCK = 1500, 20_000
 _U = np.uint64
-_FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-#: Words whose hash a worker remembers, and bytes of text split at a time.
-REMEMBERED, PIECE = 500_000, 1 << 22
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+#: Bytes of a word that are hashed eight at a time for all words together; longer words go one by one.
+LONG = 32
+_MASK = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -62,43 +70,30 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-class _Hashes(dict):
-    """64-bit XXH3 of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_HASHES = _Hashes()
-
-
-def _pieces(text: bytes) -> Iterator[bytes]:
-    """A text in pieces of about ``PIECE`` bytes, cut at blanks."""
-    a = 0
-    while len(text) - a > PIECE:
-        b = text.rfind(b" ", a, a + PIECE)
-        b = text.find(b" ", a + PIECE) if b <= a else b
-        if b < 0:
-            break
-        yield text[a:b]
-        a = b
-    yield text[a:]
-
-
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word of all texts in order, words of each text); words are lower-cased (A-Z)."""
-    out, count = [np.zeros(0, np.uint64)], []
-    for text in texts:
-        n = 0
-        for piece in _pieces(text):
-            words = piece.translate(_FOLD).split()
-            if len(_HASHES) > REMEMBERED:
-                _HASHES.clear()
-            out.append(np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words)))
-            n += len(words)
-        count.append(n)
-    return np.concatenate(out), np.array(count, np.int64)
+    """(hash of every word of all texts in order, words of each text); words are lower-cased (A-Z).
+
+    Eight bytes at a time go through a mixer that maps 64 bits one to one, so words
+    of up to eight bytes and equal length never share a hash; words beyond ``LONG``
+    bytes are hashed by XXH3.
+    """
+    raw = b" ".join(texts) + b" " * (LONG + 8)
+    buf = _LOWER[np.frombuffer(raw, np.uint8)]
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    inside = ~_SPACE[buf]
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], inside]).astype(np.int8)))
+    start, size = edge[::2], edge[1::2] - edge[::2]
+    # the eight bytes from any place on
+    eight = np.ndarray(len(buf) - 7, "<u8", buf, strides=(1,))
+    word = mix(size.astype(np.uint64) + _U(0x9E3779B97F4A7C15))
+    on = np.arange(len(start))
+    for k in range(0, LONG, 8):
+        on = on[size[on] > k]
+        part = eight[start[on] + k] & _MASK[np.minimum(size[on] - k, 8)]
+        word[on] = mix(word[on] ^ mix(part + _U(0xD1342543DE82EF95)))
+    for i in np.flatnonzero(size > LONG).tolist():
+        word[i] = xxhash.xxh3_64_intdigest(buf[start[i]: start[i] + size[i]].data)
+    return word, np.diff(np.searchsorted(start, begins))
 
 
 def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -259,6 +254,79 @@ def link_block(sketches: np.ndarray, sets: list[np.ndarray], side: np.ndarray |
     return links
 
 
+#: Members of a band up to which its pairs are estimated together with those of other bands.
+FEW = 32
+#: Members of bands in a task, pairs estimated at a time.
+MEMBERS, PAIRS = 20_000, 100_000
+
+
+def _alike(sketches: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the sets ``i`` and ``j`` may be as alike as ``percent``, by their sketches."""
+    larger, smaller = (sketches[i] > sketches[j]).sum(axis=1), (sketches[i] < sketches[j]).sum(axis=1)
+    guess = estimate(larger, smaller, size[i].astype(float), size[j].astype(float), sketches.shape[1])
+    return guess >= percent / 100 - MARGIN
+
+
+def guess_small(start: np.ndarray, count: np.ndarray, sketches: np.ndarray, size: np.ndarray, side: np.ndarray, percent: int):
+    """Pairs (i, j) of members of one group that may be alike; group ``g`` has ``count[g]`` members from ``start[g]``.
+
+    ``side``: members of equal sides are not compared (-1: no side).
+    """
+    member = np.repeat(start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    after = np.repeat(start + count, count) - member - 1
+    for a in range(0, len(member), PAIRS // FEW):
+        m, n = member[a: a + PAIRS // FEW], after[a: a + PAIRS // FEW]
+        i = np.repeat(m, n)
+        j = i + 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        ok = (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])) & ((side[i] < 0) | (side[i] != side[j]))
+        i, j = i[ok], j[ok]
+        ok = _alike(sketches, size, i, j, percent)
+        yield i[ok], j[ok]
+
+
+def guess_large(sketches: np.ndarray, size: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs that may be alike and join the parts of one group."""
+    parts, out, done = _Parts(len(size)), [], np.zeros(len(size), bool)
+    centre = np.array([np.bincount(col).argmax() for col in sketches.T])
+    for i in np.argsort(-(sketches == centre).sum(axis=1), kind="stable"):
+        done[i] = True
+        ask = ~done & (parts.of != parts.of[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i]))
+        j = np.flatnonzero(ask & ((side[i] < 0) | (side != side[i])))
+        j = j[_alike(sketches, size, np.full(len(j), i), j, percent)] if len(j) else j
+        if len(j):
+            out += [(int(i), int(k)) for k in parts.join(i, j)]
+    return out
+
+
+def _guess(percent: int):
+    """Pairs of band members that may be near copies; ``spot`` is a band, or two blocks of one."""
+
+    def run(key, table):
+        table = table.sort_by("spot")
+        spot, label, size, side = (table.column(c).to_numpy() for c in ("spot", "label", "n", "side"))
+        sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(label), -1)
+        start = np.flatnonzero(np.concatenate([[True], spot[1:] != spot[:-1]]))
+        count = np.diff(np.append(start, len(spot)))
+        few = (count > 1) & (count <= FEW)
+        pairs = list(guess_small(start[few], count[few], sketches, size, side, percent))
+        for a, n in zip(start[count > FEW].tolist(), count[count > FEW].tolist(), strict=True):
+            own = guess_large(sketches[a: a + n], size[a: a + n], side[a: a + n], percent)
+            pairs.append((a + np.array([i for i, _ in own], np.int64), a + np.array([j for _, j in own], np.int64)))
+        i, j = (np.concatenate([p[k] for p in pairs] or [np.zeros(0, np.int64)]).astype(np.int64) for k in (0, 1))
+        return pa.table([pa.array(label[i]), pa.array(label[j])], names=["a", "b"])
+
+    return run
+
+
+def _block_pairs(df: DataFrame, members: str, block: int) -> DataFrame:
+    """``df`` with its row's ``block`` of a group of so many members, and a row per pair of blocks that compares it."""
+    df = df.withColumn("blocks", F.ceil(F.col(members) / F.lit(block)).cast("int"))
+    df = df.withColumn("block", F.pmod(F.xxhash64("label"), F.col("blocks")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
+                        lambda x: F.struct(F.least(x, F.col("block")).alias("x"), F.greatest(x, F.col("block")).alias("y")))
+    return df.withColumn("p", F.explode(pairs))
+
+
 def _link(percent: int):
     def run(key, table):
         two = key[1].as_py() != key[2].as_py()
@@ -272,7 +340,8 @@ def _link(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, key: str, text: str = "text", block: int = BLOCK, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str, text: str = "text", block: int = BLOCK, percent: int = PERCENT,
+                    band_block: int = BAND_BLOCK) -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row of ``docs``; ``key`` is an integer.
 
     Documents are linked at a Jaccard similarity of ``percent`` / 100 or more.
@@ -280,14 +349,21 @@ def near_duplicates(docs: DataFrame, key: str, text: str = "text", block: int =
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     told = staged(rows.mapInArrow(_describe, "key bigint, n bigint, f1 bigint, f2 bigint, sketch binary"), "near-sketches")
     # sketches of equal sets are equal: any of them will do
-    classes = told.where("n > 0").groupBy("f1", "f2").agg(F.min("key").alias("label"), F.min_by("sketch", "key").alias("sketch"))
+    classes = told.where("n > 0").groupBy("f1", "f2").agg(F.min("key").alias("label"), F.min_by("sketch", "key").alias("sketch"),
+                                                          F.max("n").alias("n"))
     classes = staged(classes.where("label is not null"), "near-classes")
 
     bands = staged(classes.select("label", "sketch").mapInArrow(
         _bands, "band bigint, label bigint"), "near-bands")
-    least = bands.groupBy("band").agg(F.min("label").alias("first"), F.max("label").alias("last")).where("first < last")
-    stars = bands.join(least.select("band", "first"), "band").where("label != first").select("label", "first").distinct()
-    clusters = staged(components(stars, "label", "first"), "near-clusters")
+    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    met = join_unique(bands, shared, ["band"]).join(classes.select("label", "n", "sketch"), "label")
+    met = _block_pairs(met, "members", band_block)
+    side = F.when(F.col("p.x") == F.col("p.y"), -1).otherwise(F.col("block"))
+    met = met.select(F.xxhash64("band", "p.x", "p.y").alias("spot"), "label", "n", side.alias("side"), "sketch")
+    total = shared.agg(F.coalesce(F.sum("members"), F.lit(0))).first()[0]
+    shard = F.pmod(F.xxhash64("spot"), F.lit(max(1, total // MEMBERS)))
+    guessed = staged(met.groupBy(shard.alias("shard")).applyInArrow(_guess(percent), "a bigint, b bigint"), "near-guesses")
+    clusters = staged(components(guessed, "a", "b"), "near-clusters")
 
     # the sets of clustered classes, each sent to its cluster's blocks
     size = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
@@ -296,12 +372,8 @@ def near_duplicates(docs: DataFrame, key: str, text: str = "text", block: int =
     full = rows.join(place, F.col("key") == F.col("label")).select(
         "label", F.struct("root", "members").alias("root"), "text", "sketch").mapInArrow(
         _sets, "label bigint, root struct<root:bigint,members:bigint>, sketch binary, shingles binary")
-    blocks = F.ceil(F.col("root.members") / F.lit(block)).cast("int")
-    full = full.withColumn("blocks", blocks).withColumn(
-        "block", F.pmod(F.xxhash64("label"), F.col("blocks")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
-                        lambda x: F.struct(F.least(x, F.col("block")).alias("x"), F.greatest(x, F.col("block")).alias("y")))
-    full = full.select(F.col("root.root").alias("root"), "label", "block", "sketch", "shingles", F.explode(pairs).alias("p"))
+    full = _block_pairs(full.select(F.col("root.root").alias("root"), F.col("root.members").alias("members"), "label", "sketch", "shingles"),
+                        "members", block)
     links = full.select("root", "p.x", "p.y", "label", "block", "sketch", "shingles").groupBy("root", "x", "y").applyInArrow(
         _link(percent), "a bigint, b bigint")
     joined = staged(components(staged(links, "near-links"), "a", "b"), "near-components")

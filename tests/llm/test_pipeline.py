@@ -51,7 +51,7 @@ def test_every_stage_against_brute_force(spark, folder):
     before, after = seen[0]
     assert sorted([tuple(r) for r in after], key=key) == sorted([tuple(r) for r in before if not plain(r.text)[-1]], key=key)
     before, after = seen[1]
-    root = brute_components([(r.doc_id, r.text) for r in before if r.doc_id is not None])
+    root = brute_components([(r.doc_id, r.text) for r in before if r.doc_id is not None], P.NEAR_PERCENT)
     kept = {tuple(r) for r in before if r.doc_id is None or root[r.doc_id] == r.doc_id}
     assert sorted([tuple(r) for r in after], key=key) == sorted(kept, key=key)
     before, after = seen[2]

@@ -13,7 +13,7 @@ def shingle_set(s):
     return {tuple(w[i: i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
 
 
-def brute(rows):
+def brute(rows, percent=85):
     sets = {}
     for i, t in rows:
         sets.setdefault(i, []).append(shingle_set(t))
@@ -25,7 +25,7 @@ def brute(rows):
         return x
 
     for a, b in combinations(sorted(sets), 2):
-        if any(s and t and 100 * len(s & t) >= 85 * len(s | t) for s in sets[a] for t in sets[b]):
+        if any(s and t and 100 * len(s & t) >= percent * len(s | t) for s in sets[a] for t in sets[b]):
             x, y = find(a), find(b)
             root[max(x, y)] = min(x, y)
     return {i: find(i) for i in sets}
@@ -79,3 +79,43 @@ def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(3, 3), (7, 200)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 7 for i in [7, *range(200, 260)]}}
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_that_polynomial_hashes_confuse(spark):
+    word = thue_morse(2048)
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, other), (3, f"a b c d {word}"), (4, f"a b c d {other}"), (5, word.upper())]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    got = {r.doc_id: r.component_id for r in setsketch.near_duplicates(df, "doc_id").collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1} == brute(rows)
+
+
+def test_percent_is_a_parameter(spark):
+    rng = random.Random(9)
+    base = prose(rng, 300).split()
+    changed = list(base)
+    for i in (20, 80, 140, 200, 260, 290):  # similarity 0.81
+        changed[i] = "other"
+    df = spark.createDataFrame([(1, " ".join(base), "en", "s", 0), (2, " ".join(changed), "en", "s", 0)], SCHEMA)
+    a, b = shingle_set(" ".join(base)), shingle_set(" ".join(changed))
+    assert 0.8 <= len(a & b) / len(a | b) < 0.85
+    for percent, parts in ((85, 2), (80, 1)):
+        assert len({r.component_id for r in setsketch.near_duplicates(df, "doc_id", percent=percent).collect()}) == parts
+
+
+def test_long_texts_are_split_in_pieces(monkeypatch):
+    text = (" ".join(f"W{i % 700}" for i in range(3000)) + "\n" + "y" * 900).encode()
+    whole, count = setsketch.word_hashes([text, b"", b" a\x1c b\t"])
+    monkeypatch.setattr(setsketch, "PIECE", 100)
+    parts, again = setsketch.word_hashes([text, b"", b" a\x1c b\t"])
+    assert (whole == parts).all() and count.tolist() == again.tolist() == [3001, 0, 2]
+
+
+def test_a_hub_of_many_edges(spark):
+    edges = [(i, 10_000) for i in range(3000)] + [(i, i + 1) for i in range(20_000, 20_040)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect()}
+    assert {got[i] for i in [*range(3000), 10_000]} == {0} and {got[i] for i in range(20_000, 20_041)} == {20_000}
