@@ -24,9 +24,9 @@ Slices pre-aggregate, so a frequent word or pair costs a partition one entry per
 slice; a context of more than ``SPLIT`` training tokens is spread over several
 partitions by its next word, and a slice asks only the shares that it has a pair
 in: what it sends does not grow with the corpus. Entries travel as packed arrays. Words are 64-bit
-hashes. Counts of counts are summed to one row of eight numbers, a scalar of the
-plan, which travels with the answers. A slice writes to a partition
-only what it has for it.
+hashes. Counts of counts of words are summed to one row of eight numbers, a scalar
+of the plan, which travels with the answers; those of pairs go the way of the
+spread contexts. A slice writes to a partition only what it has for it.
 
 Edge cases: a NULL or empty text has one token, the end; NULL keys are hashed as
 the text ``NULL`` would not be: they count as held in (remainder of crc32 of an
@@ -49,11 +49,12 @@ from pyspark.sql import functions as F
 
 from tabrix.llm.common import slices, staged, texts_of
 from tabrix.llm.setsketch import mix, word_hashes
-from tabrix.operators.keyed import join_unique
 
 K = 5
 SLICE = 8 << 20
 SPLIT = 2_000_000
+#: Groups of slices that get a context's sums apart.
+SALTS = 16
 END, BEGIN = np.uint64(1), np.uint64(2)
 _U = np.uint64
 _STATS = 2 + K + 1  # tokens, types, types with counts 1 .. K + 1
@@ -331,17 +332,33 @@ class _Sums:
 
 
 def _tell_pairs(key, table):
-    """Counts of counts (slice -1), sums of the shares of split contexts (-2), and who asks for those contexts."""
+    """Partial sums by context, and which slices ask for them, in ``SALTS`` groups a context.
+
+    Context 0 stands for the counts of counts, which every slice asks for; the others
+    are the split contexts, whose shares are added up.
+    """
     sums = _Sums(table)
-    at, wanted, own = 0, [], {}
+    at, asked, own = 0, [], {}
+    each = sums.sums()
     for slice_, x in zip(table.column("slice").to_pylist(), sums.loads, strict=True):
-        wanted += [(slice_, int(c)) for c in x[8].view(np.int64).tolist()]
-        own.update(zip(sums.name[at:][x[7]].tolist(), x[8].view(np.int64).tolist(), strict=True))
+        names = x[8].view(np.int64).tolist()
+        asked += [(c, slice_ % SALTS, slice_, None) for c in (0, *names)]
+        own.update(zip(sums.name[at:][x[7]].tolist(), names, strict=True))  # a context may have several shares here
         at += len(x[0])
-    each = sums.sums()
-    rows = [(-1, None, _stats(sums.total).tolist()), *((-2, c, each[i].tolist()) for i, c in own.items()), *((s, c, None) for s, c in wanted)]
-    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.list_(pa.float64())), strict=True)],
-                    names=["slice", "context", "sums"])
+    parts = [(0, _stats(sums.total).tolist()), *((c, each[i].tolist()) for i, c in own.items())]
+    rows = [*asked, *((c, salt, None, v) for c, v in parts for salt in range(SALTS))]
+    kinds = {"context": pa.int64(), "salt": pa.int32(), "slice": pa.int64(), "sums": pa.list_(pa.float64())}
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds.values(), strict=True)], names=list(kinds))
+
+
+def _add_up(key, table):
+    """A context's sums for each slice that asks."""
+    slices_ = sorted({x for x in table.column("slice").to_pylist() if x is not None})
+    total = np.sum([x for x in table.column("sums").to_pylist() if x is not None], axis=0).tolist()
+    n = len(slices_)
+    return pa.table([pa.array(slices_, pa.int64()), pa.array([-1] * n, pa.int32()), pa.array([3] * n, pa.int32()),
+                     pa.array([key[0].as_py().to_bytes(8, "big", signed=True)] * n, pa.binary()), pa.array([total] * n, pa.list_(pa.float64()))],
+                    names=["slice", "part", "round", "load", "stats"])
 
 
 def _sum_pairs(key, table):
@@ -359,8 +376,8 @@ def _sum_pairs(key, table):
                     names=["slice", "part", "round", "load"])
 
 
-def _split_totals(answers: pa.Table) -> dict[int, list[float]]:
-    """Corpus sums of the split contexts that a slice asked for."""
+def _whole_sums(answers: pa.Table) -> dict[int, list[float]]:
+    """Corpus sums that a slice asked for, by context; 0: the counts of counts."""
     rows = zip(*(answers.column(c).to_pylist() for c in ("round", "load", "stats")), strict=True)
     return {int.from_bytes(load, "big"): sums for r, load, sums in rows if r == 3}
 
@@ -383,11 +400,11 @@ def _score(parts: int, split: int):
         # the shares of a split context are summed over the corpus
         contexts, at = np.unique(pairs.used, return_index=True)
         sums = sums[:, at]
-        whole = _split_totals(answers)
+        whole = _whole_sums(answers)
         for i in np.flatnonzero(pairs.split[at]):
             sums[:, i] = whole[int(pairs.whole[at[i]])]
         after, mass, low = sums[0], sums[1], sums[2:]
-        d = discounts(_totals(answers, 2))
+        d = discounts(np.array(whole[0]))
         left = ((1 - d[1:, None]) * np.arange(1, K + 1)[:, None] * low).sum(axis=0) / np.maximum(after, 1)
         scale = np.where(left > 0, 1.0, after / (after + 1))
         left = np.where(left > 0, left, 1 / (after + 1))
@@ -428,13 +445,9 @@ def katz_scores(docs: DataFrame, key: str, text: str, held_out, slice_bytes: int
     words = _with_totals(cut.groupBy("slice").applyInArrow(_ask_words(parts), load).groupBy("part").applyInArrow(_sum_words, answer))
     asked = cut.groupBy("slice").cogroup(words.groupBy("slice")).applyInArrow(_ask_pairs(parts, split), load)
     # counts of counts, and what only all shares of a context together know
-    told = staged(asked.groupBy("part").applyInArrow(_tell_pairs, "slice bigint, context bigint, sums array<double>"), "katz-sums")
-    stats = told.where("slice = -1").agg(F.array(*[F.sum(F.col("sums")[i]) for i in range(_STATS)]).alias("stats")).scalar()
-    shares = told.where("slice = -2").groupBy("context").agg(F.array(*[F.sum(F.col("sums")[i]) for i in range(K + 2)]).alias("stats"))
-    wanted = staged(told.where("slice >= 0").select("slice", "context").distinct(), "katz-wanted")
-    whole = join_unique(wanted, shares, ["context"]).select(
-        "slice", F.lit(-1).alias("part"), F.lit(3).alias("round"), F.unhex(F.lpad(F.hex("context"), 16, "0")).alias("load"), "stats")
-    pairs = asked.groupBy("part").applyInArrow(_sum_pairs, "slice bigint, part int, round int, load binary").withColumn("stats", stats)
+    told = asked.groupBy("part").applyInArrow(_tell_pairs, "context bigint, salt int, slice bigint, sums array<double>")
+    whole = told.groupBy("context", "salt").applyInArrow(_add_up, answer)
+    pairs = asked.groupBy("part").applyInArrow(_sum_pairs, "slice bigint, part int, round int, load binary").withColumn("stats", F.lit(None).cast("array<double>"))
     both = words.unionByName(pairs).unionByName(whole)
     out = cut.groupBy("slice").cogroup(both.groupBy("slice")).applyInArrow(
         _score(parts, split), f"key {docs.schema[key].dataType.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, "
