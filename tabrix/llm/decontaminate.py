@@ -176,7 +176,9 @@ def decontaminate(docs: DataFrame, text: str, benchmark: DataFrame, item: str =
     blocks = max(1, -(-total // block_bytes))
     part = F.pmod(F.xxhash64("text", "item"), F.lit(blocks))
     names = [c for c in docs.columns if c.lower() not in ADDED]
-    out = docs.select(*map(quoted, names))
+    # plain names on the way: Arrow functions take no names with dots
+    plain = {c: f"c{i}" for i, c in enumerate(names)}
+    out = docs.select(*[quoted(c).alias(p) for c, p in plain.items()])
     if blocks > 1:
         lines = staged(lines.withColumn("part", part), "benchmark-blocks")
     for b in range(blocks):
@@ -184,16 +186,16 @@ def decontaminate(docs: DataFrame, text: str, benchmark: DataFrame, item: str =
         mine = lines.where(F.col("part") == b) if blocks > 1 else lines
         block = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in mine.toLocalIterator()])
         last = b == blocks - 1
-        kept = [c for c in names if not last or carry is None or c in carry]
+        kept = [p for c, p in plain.items() if not last or carry is None or c in carry]
         schema = T.StructType([out.schema[c] for c in kept] + [
             T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
             T.StructField("spans", _SPANS), T.StructField("items", T.ArrayType(T.StringType()))])
-        out = out.mapInArrow(_pass(block, text, width, kept, b > 0), schema)
+        out = out.mapInArrow(_pass(block, plain[text], width, kept, b > 0), schema)
         if not last:
             # the pass ends here, and its block is let go
             out = staged(out, "decontamination-pass")
             block.destroy()
-    return out
+    return out.select(*[F.col(p).alias(c) for c, p in plain.items() if p in kept], *ADDED)
 
 
 def _pass(block, text: str, width: int, kept: list[str], again: bool):

@@ -83,3 +83,12 @@ def test_index_ranks_and_places():
     for p, a, b in zip(patterns, lo, hi, strict=True):
         found = sorted(index.locate(np.arange(a, b)).tolist())
         assert found == [i for i in range(len(text)) if text[i: i + len(p)].tolist() == p.tolist()]
+
+
+def test_names_with_dots_pass_in_one_block_and_in_many(spark):
+    docs = frame(spark).withColumn("a.b", F.lit(3))
+    rows = docs.collect()
+    table = spark.createDataFrame(items(rows), "item_id int, text string")
+    for block in (8 << 20, 100):
+        out = decontaminate(docs, "text", table, block_bytes=block).collect()
+        assert len(out) == len(rows) and {r["a.b"] for r in out} == {3}

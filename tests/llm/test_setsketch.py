@@ -107,15 +107,49 @@ def test_percent_is_a_parameter(spark):
         assert len({r.component_id for r in setsketch.near_duplicates(df, "doc_id", percent=percent).collect()}) == parts
 
 
-def test_long_texts_are_split_in_pieces(monkeypatch):
-    text = (" ".join(f"W{i % 700}" for i in range(3000)) + "\n" + "y" * 900).encode()
-    whole, count = setsketch.word_hashes([text, b"", b" a\x1c b\t"])
-    monkeypatch.setattr(setsketch, "PIECE", 100)
-    parts, again = setsketch.word_hashes([text, b"", b" a\x1c b\t"])
-    assert (whole == parts).all() and count.tolist() == again.tolist() == [3001, 0, 2]
+def test_words_of_all_lengths_have_hashes_of_their_own():
+    rng = random.Random(3)
+    texts = [b"", b" a\x1c b\t", b"A a\x00 a a\x00\x00", " ".join(f"W{i % 700}" for i in range(3000)).encode()]
+    texts += [b" ".join(bytes(rng.choices(b"xyzXYZ\xc3\xa9\x00", k=n)) for _ in range(5)) for n in range(1, 70)]
+    texts += [thue_morse(2 ** k).encode() for k in range(11)] + [thue_morse(2 ** k).encode().translate(bytes.maketrans(b"ab", b"ba")) for k in range(11)]
+    word, count = setsketch.word_hashes(texts)
+    plain = [w for t in texts for w in bytes(t).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")).split()]
+    assert count.tolist() == [len(t.split()) for t in texts] and len(word) == len(plain)
+    assert len(set(word.tolist())) == len(set(plain)) == len(set(zip(word.tolist(), plain, strict=True)))
+    alone = [setsketch.word_hashes([w])[0][0] for w in plain[:400]]
+    assert alone == word[:400].tolist()
 
 
 def test_a_hub_of_many_edges(spark):
     edges = [(i, 10_000) for i in range(3000)] + [(i, i + 1) for i in range(20_000, 20_040)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect()}
     assert {got[i] for i in [*range(3000), 10_000]} == {0} and {got[i] for i in range(20_000, 20_041)} == {20_000}
+
+
+def test_bands_in_blocks_and_large_bands(spark, monkeypatch):
+    rows = [(i, t, "en", "s", 0) for i, t in near_copies(5)]
+    base = prose(random.Random(4), 60).split()
+    rows += [(5000 + i, " ".join([*base, f"end{i % 50}"]), "en", "s", 0) for i in range(150)]  # one band of 50 classes
+    want = brute([r[:2] for r in rows])
+    df = spark.createDataFrame(rows, SCHEMA)
+    for few, band_block in ((32, 20_000), (2, 7), (32, 7)):
+        monkeypatch.setattr(setsketch, "FEW", few)
+        out = setsketch.near_duplicates(df, "doc_id", band_block=band_block).collect()
+        assert {r.doc_id: r.component_id for r in out} == want
+
+
+def test_boilerplate_makes_no_clusters(spark, monkeypatch):
+    """A chain whose neighbours are half alike: bands are shared, but nothing is sent to be verified."""
+    rng = random.Random(11)
+    parts = [prose(rng, 60) for _ in range(120)]
+    rows = [(i, parts[i] + " " + parts[i + 1], "en", "s", 0) for i in range(119)]
+    seen = []
+    real = setsketch.components
+
+    def watch(edges, a, b):
+        seen.append(edges.count())
+        return real(edges, a, b)
+
+    monkeypatch.setattr(setsketch, "components", watch)
+    out = setsketch.near_duplicates(spark.createDataFrame(rows, SCHEMA), "doc_id").collect()
+    assert all(r.kept for r in out) and seen[0] < 10
