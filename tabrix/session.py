@@ -7,8 +7,10 @@ cluster. Only when it is unset (tests, local runs) do we set one ourselves.
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -55,6 +57,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[.*\])?", master):
             raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         current = tempfile.mkdtemp(prefix="tabrix-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, current, ignore_errors=True)  # private: goes with the process
         try:
             spark.conf.set("spark.checkpoint.dir", current)
         except Exception:  # noqa: BLE001 - some sessions refuse core conf changes
