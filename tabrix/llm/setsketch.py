@@ -369,6 +369,8 @@ def near_duplicates(docs: DataFrame, key: str, text: str = "text", block: int =
     size = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     place = clusters.join(size, "root").join(classes, F.col("node") == F.col("label")).select(
         "label", "root", "members", "sketch")
+    # written, so that its size is known: where it is small Spark sends it to the texts, and does not shuffle those
+    place = staged(place, "near-places")
     full = rows.join(place, F.col("key") == F.col("label")).select(
         "label", F.struct("root", "members").alias("root"), "text", "sketch").mapInArrow(
         _sets, "label bigint, root struct<root:bigint,members:bigint>, sketch binary, shingles binary")
