@@ -135,7 +135,9 @@ def document_terms(df: DataFrame, key: str, text_col: str, ngram_max: int = 2) -
 
 def term_counts(terms: DataFrame, key: str) -> DataFrame:
     """``(key, term, tf)`` rows of a ``document_terms`` table."""
-    return terms.select(quoted(key), F.explode("terms").alias("t")).select(quoted(key), "t.term", "t.tf")
+    # explode_outer and a filter: a plain explode infers size(terms) > 0, which would compute the terms twice
+    each = terms.select(quoted(key), F.explode_outer("terms").alias("t")).where(F.col("t").isNotNull())
+    return each.select(quoted(key), "t.term", "t.tf")
 
 
 def fit_tfidf(df: DataFrame, key: str, text_col: str, max_features: int | None = 4000,
