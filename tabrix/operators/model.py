@@ -97,6 +97,23 @@ def param_grid(pipeline, grid: Mapping[str, Sequence]):
     return b.build()
 
 
+def fold_stages(stages: Sequence, train: DataFrame, fold_col: str, num_folds: int) -> list[list]:
+    """``stages`` to fit on the rows outside fold 0, 1, ..., and last those for all rows.
+
+    The first stages, as far as they are category and term stages, are fitted
+    already: what they count is counted in one pass over ``train`` for all folds.
+    """
+    from tabrix.operators.stages import CategoryStage, TfidfStage
+
+    out = [list(stages) for _ in range(num_folds + 1)]
+    for i, stage in enumerate(stages):
+        if not isinstance(stage, (CategoryStage, TfidfStage)):
+            break  # it may change the rows that later stages count
+        for mine, fitted in zip(out, stage.fold_models(train, fold_col, num_folds), strict=True):
+            mine[i] = fitted
+    return out
+
+
 def search(train: DataFrame, pipeline, grid: Mapping[str, Sequence], label: str = "label",
            fold_col: str = "fold", n_iter: int | None = None, seed: int = 42,
            parallelism: int = 2, num_folds: int = 5):
@@ -108,8 +125,9 @@ def search(train: DataFrame, pipeline, grid: Mapping[str, Sequence], label: str
     on the fold's training rows and their vectors persisted; only the
     classifier is fitted per parameter map (``parallelism`` at a time). This is
     ``CrossValidator`` on the whole pipeline without refitting identical
-    feature stages for every map. The best map (first wins ties) is refitted as
-    a whole pipeline on all of ``train``.
+    feature stages for every map; categories and terms of all folds are counted in one pass
+    (``fold_stages``). The best map (first wins ties) is refitted as a whole
+    pipeline on all of ``train``.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -124,15 +142,19 @@ def search(train: DataFrame, pipeline, grid: Mapping[str, Sequence], label: str
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
                                        metricName="areaUnderROC", numBins=0)
     stages = pipeline.getStages()
-    clf, features = stages[-1], Pipeline(stages=stages[:-1])
+    clf = stages[-1]
+    own = fold_stages(stages[:-1], train, fold_col, num_folds)
     keep = [label, clf.getFeaturesCol()]
     scores = [[0.0] * num_folds for _ in maps]
     for k in range(num_folds):
         fit_rows = train.where(F.col(fold_col) != k)
-        fmodel = features.fit(fit_rows)
+        fmodel = Pipeline(stages=own[k]).fit(fit_rows)
         tr = fmodel.transform(fit_rows).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
         va = fmodel.transform(train.where(F.col(fold_col) == k)).select(*keep) \
             .persist(StorageLevel.MEMORY_AND_DISK)
+        # made once here: fits that start together would each make the rows they do not find yet
+        tr.count()
+        va.count()
 
         def run(i, tr=tr, va=va, k=k):
             scores[i][k] = ev.evaluate(clf.fit(tr, maps[i]).transform(va))
@@ -144,7 +166,7 @@ def search(train: DataFrame, pipeline, grid: Mapping[str, Sequence], label: str
     avg = [sum(f) / num_folds for f in scores]
     std = [(sum((x - a) ** 2 for x in f) / num_folds) ** 0.5 for f, a in zip(scores, avg)]
     best = max(range(len(maps)), key=lambda i: (avg[i], -i))
-    best_model = pipeline.fit(train, maps[best])
+    best_model = Pipeline(stages=[*own[-1], clf]).fit(train, maps[best])
     return CrossValidatorModel(best_model, avg, None, std), maps
 
 

@@ -121,25 +121,42 @@ class CategoryStage(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadabl
         super().__init__()
         self._build()
 
+    def _counts(self, df: DataFrame, fold_col: str | None = None, num_folds: int = 0) -> DataFrame:
+        """Rows of each category: ``n`` of all, ``n_0``, ... of those outside a fold."""
+        from tabrix.operators.features import _long_values
+
+        if fold_col:
+            df = df.withColumn("__fold", quoted(fold_col))
+        values = _long_values(df, self.getInputCols(), "__fold" if fold_col else None).where("category IS NOT NULL")
+        return written(values.groupBy("column_name", "category").agg(
+            F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("__fold") != k).alias(f"n_{k}") for k in range(num_folds)]), "category-counts")
+
     def _fit(self, df: DataFrame) -> PipelineModel:
-        from tabrix.operators.features import _long_values, fit_one_hot
+        return self._model(self._counts(df))
+
+    def fold_models(self, df: DataFrame, fold_col: str, num_folds: int) -> list[PipelineModel]:
+        """What fitting on the rows outside fold 0, 1, ... gives, and last on all rows, from one pass over the rows."""
+        counts = self._counts(df, fold_col, num_folds)
+        outside = [counts.select("column_name", "category", F.col(f"n_{k}").alias("n")).where("n > 0") for k in range(num_folds)]
+        return [self._model(c) for c in [*outside, counts.select("column_name", "category", "n")]]
+
+    def _model(self, counts: DataFrame) -> PipelineModel:
+        from tabrix.operators.features import fit_one_hot
 
         columns, outs = self.getInputCols(), self.getOutputCols()
-        counts = written(_long_values(df, columns, None).where("category IS NOT NULL").groupBy("column_name", "category").agg(
-            F.count(F.lit(1)).alias("n")), "category-counts")
         vocab = fit_one_hot(counts, columns, counts)
         # which categories are near: a top-k per column, cut before the shuffle
         order = Window.partitionBy("column_name").orderBy(F.desc("n"), "category")
         top = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= NEAR)
         placed = vocab.join(F.broadcast(top.select("column_name", "category", "place")), ["column_name", "category"], "left")
         table = placed.withColumn("place", F.coalesce("place", F.lit(NEAR + 1)))
-        folder = scratch_path(df.sparkSession, "categories")
+        folder = scratch_path(counts.sparkSession, "categories")
         table.write.parquet(folder)
         sizes = {r["column_name"]: r["n"] for r in counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
         # a column without any category has one that never occurs
         sizes = [max(sizes.get(c, 0), 1) for c in columns]
         index = [f"{o}__idx" for o in outs]
-        last = df.sparkSession.createDataFrame([tuple(float(n - 1) for n in sizes)], ", ".join(f"`{c}` double" for c in index))
+        last = counts.sparkSession.range(0, 1, 1, 1).select(*[F.lit(float(n - 1)).alias(c) for c, n in zip(index, sizes, strict=True)])
         blocks = OneHotEncoder(inputCols=index, outputCols=outs, dropLast=True, handleInvalid="keep").fit(last)
         return PipelineModel([CategoryIndexModel(inputCols=columns, outputCols=index, vocabulary=folder, sizes=sizes), blocks])
 
@@ -158,20 +175,50 @@ class TfidfStage(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, De
         super().__init__()
         self._build()
 
-    def vocabulary(self, df: DataFrame) -> tuple[list, int]:
-        n = df.count()
+    def occurrences(self, df: DataFrame, *more: Column) -> DataFrame:
+        """A row per term of each document, with whether it is the document's first of that term, and ``more``."""
         terms = F.coalesce(quoted(self.getInputCol()), F.array().cast("array<string>"))
         # one pass: in a sorted document, a term's first occurrence counts the document
         runs = F.transform(F.array(F.sort_array(F.filter(terms, lambda t: t.isNotNull()))), lambda s: F.transform(
             s, lambda t, i: F.struct(t.alias("term"), F.when((i == 0) | (F.get(s, i - 1) != t), 1).otherwise(0).alias("first"))))[0]
-        stats = df.select(F.explode(runs).alias("t")).groupBy("t.term").agg(F.count(F.lit(1)).alias("cf"), F.sum("t.first").alias("df"))
+        return df.select(F.explode(runs).alias("t"), *more).select("t.term", "t.first", "*").drop("t")
+
+    def _most_frequent(self, stats: DataFrame, n: int) -> list:
         kept = stats.where((F.col("df") >= self.getOrDefault("minDF")) & (F.col("df") <= self.getOrDefault("maxDF") * n))
-        return kept.orderBy(F.desc("cf"), "term").limit(self.getOrDefault("maxFeatures")).collect(), n
+        return kept.orderBy(F.desc("cf"), "term").limit(self.getOrDefault("maxFeatures")).collect()
+
+    def vocabulary(self, df: DataFrame) -> tuple[list, int]:
+        n = df.count()
+        stats = self.occurrences(df).groupBy("term").agg(F.count(F.lit(1)).alias("cf"), F.sum("first").alias("df"))
+        return self._most_frequent(stats, n), n
+
+    def fold_models(self, df: DataFrame, fold_col: str, num_folds: int) -> list[PipelineModel]:
+        """What fitting on the rows outside fold 0, 1, ... gives, and last on all rows, from one pass over the terms.
+
+        A term's counts outside a fold are those in any fold less those in this one;
+        rows without a fold count for all rows alone. Terms in fewer than ``minDF`` of
+        all documents are in none of the vocabularies.
+        """
+        fold, folds = F.col("__fold"), range(num_folds)
+        df = df.withColumn("__fold", quoted(fold_col))
+        sizes = df.agg(F.count(F.lit(1)), F.count(fold), *[F.count_if(fold == k) for k in folds]).first()
+        first = F.col("first")
+        stats = self.occurrences(df, fold).groupBy("term").agg(
+            F.count(F.lit(1)).alias("cf"), F.sum(first).alias("df"),
+            F.count(fold).alias("cf_set"), F.sum(F.when(fold.isNotNull(), first).otherwise(0)).alias("df_set"),
+            *[F.count_if(fold == k).alias(f"cf_{k}") for k in folds],
+            *[F.sum(F.when(fold == k, first).otherwise(0)).alias(f"df_{k}") for k in folds])
+        stats = written(stats.where(F.col("df") >= self.getOrDefault("minDF")), "fold-terms")
+        outside = [(stats.select("term", (F.col("cf_set") - F.col(f"cf_{k}")).alias("cf"), (F.col("df_set") - F.col(f"df_{k}")).alias("df")),
+                    sizes[1] - sizes[2 + k]) for k in folds]
+        return [self._model(self._most_frequent(s, n), n) for s, n in [*outside, (stats.select("term", "cf", "df"), sizes[0])]]
 
     def _fit(self, df: DataFrame) -> PipelineModel:
+        return self._model(*self.vocabulary(df))
+
+    def _model(self, rows: list, n: int) -> PipelineModel:
         from tabrix.operators.features import FeatureError
 
-        rows, n = self.vocabulary(df)
         if not rows:
             raise FeatureError(f"no term of {self.getInputCol()} is frequent enough for a vocabulary")
         idf = Vectors.dense([math.log((n + 1) / (r["df"] + 1)) + 1 for r in rows])
