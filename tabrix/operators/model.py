@@ -221,9 +221,10 @@ def search_candidates(train: DataFrame, candidates: Sequence[Candidate], feature
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0)
     scores = [[0.0] * num_folds for _ in tries]
     sizes = []
+    own = fold_stages(features, train, fold_col, num_folds)
     for k in range(num_folds):
         fit_rows, held_rows = train.where(F.col(fold_col) != k), train.where(F.col(fold_col) == k)
-        fitted = Pipeline(stages=list(features)).fit(fit_rows)
+        fitted = Pipeline(stages=own[k]).fit(fit_rows)
         cols = [label, "raw_features"]
         fit_raw = fitted.transform(fit_rows).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
         held_raw = fitted.transform(held_rows).select(*cols, *([key] if key else [])).persist(StorageLevel.MEMORY_AND_DISK)
@@ -235,6 +236,8 @@ def search_candidates(train: DataFrame, candidates: Sequence[Candidate], feature
             stage = stage.fit(fit_raw) if hasattr(stage, "fit") else stage
             fit_x = stage.transform(fit_raw).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
             held_x = stage.transform(held_raw).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
+            fit_x.count()
+            held_x.count()
 
             def run(i, k=k, fit_x=fit_x, held_x=held_x):
                 algorithm, _, params = tries[i]
@@ -250,14 +253,15 @@ def search_candidates(train: DataFrame, candidates: Sequence[Candidate], feature
     mean = [sum(s) / num_folds for s in scores]
     best = max(range(len(tries)), key=lambda i: (mean[i], -i))
     algorithm, scaler, params = tries[best]
-    pipeline = Pipeline(stages=[*features, scaled_stage(scaler), estimator(algorithm, params, label, "features", seed)])
+    last = [scaled_stage(scaler), estimator(algorithm, params, label, "features", seed)]
+    pipeline = Pipeline(stages=[*features, *last])
     spark = train.sparkSession
     text = lambda p: ", ".join(f"{k}={v}" for k, v in sorted(p.items()))
     table = spark.createDataFrame(
         [(i, a, s, text(p), k, float(scores[i][k]), float(mean[i]), i == best) for i, (a, s, p) in enumerate(tries) for k in range(num_folds)],
         "candidate int, algorithm string, scaler string, params string, fold int, auc double, mean_auc double, selected boolean")
     folds = spark.createDataFrame(sizes, "fold int, n_fit bigint, n_held bigint, held_key_sum bigint")
-    return CandidateSearch(pipeline.fit(train), pipeline, table, folds)
+    return CandidateSearch(Pipeline(stages=[*own[-1], *last]).fit(train), pipeline, table, folds)
 
 
 def feature_importances(model) -> DataFrame:

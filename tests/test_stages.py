@@ -149,3 +149,40 @@ def test_tree_learners_reload_and_rank(spark, tmp_path):
         assert auc > 0.8
     with pytest.raises(ValueError):
         M.feature_importances(M.build_pipeline(["x"], [], None, "logistic_regression").fit(df))
+
+
+def fold_rows(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["a", "b", None, f"z{i}"]), [rng.choice(["x", "y", "z", f"t{i % 40}", None]) for _ in range(rng.randrange(6))] if i % 9 else None,
+             rng.choice([0, 1, 2, 7, None]), float(i % 2), float(rng.random() + (i % 2) * 0.6)) for i in range(200)]
+    return spark.createDataFrame(rows, "id bigint, c string, terms array<string>, fold int, label double, x double")
+
+
+def test_fold_models_equal_fits_on_the_rows_outside(spark):
+    df = fold_rows(spark)
+    outside = [df.where(F.col("fold") != k) for k in range(3)] + [df]
+    for stage in (ST.CategoryStage(inputCols=["c"], outputCols=["v"]), ST.TfidfStage(inputCol="terms", outputCol="v", maxFeatures=12, minDF=2, maxDF=0.5)):
+        models = stage.fold_models(df, "fold", 3)
+        assert len(models) == 4
+        for model, rows in zip(models, outside, strict=True):
+            got, want = (m.transform(df.where("terms IS NOT NULL")).select("id", "v").orderBy("id").collect() for m in (model, stage.fit(rows)))
+            assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_searches_count_categories_and_terms_once(spark, monkeypatch):
+    df = fold_rows(spark).where("fold < 3 AND terms IS NOT NULL").cache()
+    pipe = M.build_pipeline(["x"], ["c"], "terms", "logistic_regression", {"maxIter": 3}, tfidf_max_features=5, text_terms="terms")
+    features = M.feature_stages(["x"], ["c"], "terms", 5, "terms")
+    one = M.Candidate("logistic_regression", {"maxIter": 3, "regParam": 0.1})
+    plain = pipe.fit(df).transform(df).select("id", "features").orderBy("id").collect()
+
+    def again(self, rows):
+        raise AssertionError("fitted once more")
+
+    monkeypatch.setattr(ST.CategoryStage, "_fit", again)
+    monkeypatch.setattr(ST.TfidfStage, "_fit", again)
+    cv, _ = M.search(df, pipe, {"regParam": [0.1]}, num_folds=3)
+    found = M.search_candidates(df, [one], features, num_folds=3)
+    assert cv.bestModel.transform(df).select("id", "features").orderBy("id").collect() == plain
+    assert found.model.transform(df).select("id", "features").orderBy("id").collect() == plain
+    assert abs(found.scores.first()["mean_auc"] - cv.avgMetrics[0]) < 1e-9
