@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,3 +70,28 @@ def texts_of(column) -> list[bytes]:
     import pyarrow as pa
 
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system: Arrow's pool, and the C heap where its library can."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run):
+    """``run`` of ``mapInArrow``, which gives its memory back when a task ends.
+
+    Python workers wait for later tasks, also of other stages, and would keep it.
+    """
+
+    def to_the_end(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return to_the_end

@@ -37,10 +37,10 @@ from pyspark.sql import types as T
 
 from tabrix.llm.bwt import FMIndex
 from tabrix.functions.nulls import quoted
-from tabrix.llm.common import slices, staged, texts_of
+from tabrix.llm.common import lean, slices, staged, texts_of
 
 WIDTH = 10
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 _WORD = np.zeros(256, bool)
 _WORD[0x30:0x3A] = _WORD[0x41:0x5B] = _WORD[0x61:0x7B] = _WORD[0x80:] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -190,7 +190,7 @@ def decontaminate(docs: DataFrame, text: str, benchmark: DataFrame, item: str =
         schema = T.StructType([out.schema[c] for c in kept] + [
             T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
             T.StructField("spans", _SPANS), T.StructField("items", T.ArrayType(T.StringType()))])
-        out = out.mapInArrow(_pass(block, plain[text], width, kept, b > 0), schema)
+        out = out.mapInArrow(lean(_pass(block, plain[text], width, kept, b > 0)), schema)
         if not last:
             # the pass ends here, and its block is let go
             out = staged(out, "decontamination-pass")
@@ -204,11 +204,12 @@ def _pass(block, text: str, width: int, kept: list[str], again: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases.of(name, block, width)
         for batch in batches:
-            texts = texts_of(batch.column(text))
-            for a, b in slices([len(t) for t in texts], SHARD_BYTES):
+            sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
+            for a, b in slices(sizes, SHARD_BYTES):
                 old = batch.slice(a, b - a)
+                texts = texts_of(old.column(text))
                 before = old.column("spans").to_pylist() if again else [[]] * (b - a)
-                found = search_shard(texts[a:b], phrases, before)
+                found = search_shard(texts, phrases, before)
                 items = [i | set(o) for (*_, i), o in zip(found, old.column("items").to_pylist(), strict=True)] if again else [
                     f[3] for f in found]
                 cols = [old.column(c) for c in kept] + [

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabrix.llm.common import fresh, slices, texts_of
+from tabrix.llm.common import fresh, lean, slices, texts_of
 
 CAPACITY = 4096
 END = 1
@@ -74,7 +74,7 @@ def pieces(docs: DataFrame, key: str, text: str, vocabulary: str, capacity: int
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("piece", T.IntegerType()),
                            T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
                            T.StructField("ids", T.BinaryType())])
-    return docs.select(key, text).mapInArrow(cut, schema)
+    return docs.select(key, text).mapInArrow(lean(cut), schema)
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:

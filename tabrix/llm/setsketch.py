@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabrix.llm.common import slices, staged, texts_of
+from tabrix.llm.common import lean, slices, staged, texts_of
 from tabrix.llm.graph import components
 from tabrix.operators.keyed import join_unique
 
@@ -347,7 +347,7 @@ def near_duplicates(docs: DataFrame, key: str, text: str = "text", block: int =
     Documents are linked at a Jaccard similarity of ``percent`` / 100 or more.
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    told = staged(rows.mapInArrow(_describe, "key bigint, n bigint, f1 bigint, f2 bigint, sketch binary"), "near-sketches")
+    told = staged(rows.mapInArrow(lean(_describe), "key bigint, n bigint, f1 bigint, f2 bigint, sketch binary"), "near-sketches")
     # sketches of equal sets are equal: any of them will do
     classes = told.where("n > 0").groupBy("f1", "f2").agg(F.min("key").alias("label"), F.min_by("sketch", "key").alias("sketch"),
                                                           F.max("n").alias("n"))
@@ -373,7 +373,7 @@ def near_duplicates(docs: DataFrame, key: str, text: str = "text", block: int =
     place = staged(place, "near-places")
     full = rows.join(place, F.col("key") == F.col("label")).select(
         "label", F.struct("root", "members").alias("root"), "text", "sketch").mapInArrow(
-        _sets, "label bigint, root struct<root:bigint,members:bigint>, sketch binary, shingles binary")
+        lean(_sets), "label bigint, root struct<root:bigint,members:bigint>, sketch binary, shingles binary")
     full = _block_pairs(full.select(F.col("root.root").alias("root"), F.col("root.members").alias("members"), "label", "sketch", "shingles"),
                         "members", block)
     links = full.select("root", "p.x", "p.y", "label", "block", "sketch", "shingles").groupBy("root", "x", "y").applyInArrow(

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabrix.llm.bwt import WaveletMatrix, suffix_order
-from tabrix.llm.common import staged, texts_of
+from tabrix.llm.common import lean, staged, texts_of
 
 WIDTH = 200
 GRAM = 48
@@ -404,7 +404,7 @@ def remove_repeats(docs: DataFrame, key: str, text: str = "text", carry: list[st
                    *[F.col(text).isNull().alias("gone")] * (text in carry)).alias("row")
     keyed = docs.select(*_row_id(docs, key, text), row)
     runs = staged(keyed.select("h1", "h2", "row.t").mapInArrow(
-        _find_runs(width, gram), "h1 bigint, h2 int, start bigint, n int, anchor bigint, mark bigint, weight int"), "repeat-runs")
+        lean(_find_runs(width, gram)), "h1 bigint, h2 int, start bigint, n int, anchor bigint, mark bigint, weight int"), "repeat-runs")
     again = runs.groupBy("anchor").agg(F.sum("weight").alias("w")).where("w >= 2").select("anchor")
     found = staged(runs.drop("weight").join(again, "anchor", "left_semi"), "repeat-candidates")
     place = F.min(F.struct("h1", "h2", "start")).alias("at")
@@ -419,7 +419,7 @@ def remove_repeats(docs: DataFrame, key: str, text: str = "text", carry: list[st
     want = calm.groupBy("at.h1", "at.h2").agg(F.collect_list(F.struct(
         F.col("at.start").alias("start"), "n", "anchor", "mark", "copies")).alias("want"))
     bytes_of = keyed.join(want, ["h1", "h2"]).select("row", "want").mapInArrow(
-        _cut_segments(width), "anchor bigint, mark bigint, copies bigint, segment binary")
+        lean(_cut_segments(width)), "anchor bigint, mark bigint, copies bigint, segment binary")
     ranges = bytes_of.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(shards))).applyInArrow(
         _expand_shard(width), f"anchor bigint, mark bigint, ranges {_RANGES}")
     hits = found.join(ranges, ["anchor", "mark"]).select("h1", "h2", "start", "ranges")
@@ -428,7 +428,7 @@ def remove_repeats(docs: DataFrame, key: str, text: str = "text", carry: list[st
         lots = found.join(crowded, "anchor", "left_semi").select("h1", "h2", "start", "n").distinct()
         lots = lots.groupBy("h1", "h2").agg(F.collect_list(F.struct("start", "n")).alias("want"))
         windows = keyed.join(lots, ["h1", "h2"]).select("h1", "h2", "row", "want").mapInArrow(
-            _cut_windows(width), "h1 bigint, h2 int, start bigint, anchor bigint, mark bigint")
+            lean(_cut_windows(width)), "h1 bigint, h2 int, start bigint, anchor bigint, mark bigint")
         windows = staged(windows, "repeat-windows")
         twice = windows.groupBy("anchor", "mark").agg(F.count(F.lit(1)).alias("c")).where("c >= 2").drop("c")
         one = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.lit(1).cast("long").alias("b")))
@@ -450,5 +450,5 @@ def remove_repeats(docs: DataFrame, key: str, text: str = "text", carry: list[st
     added = ["n_bytes bigint", "spans array<struct<start:bigint,end:bigint>>", "kept binary"]
     if text in carry:
         fields += [f"`{text}` string"]
-    return rows.mapInArrow(_take_out(kept, text in carry, width, whole_characters), ", ".join(fields + added)).select(
+    return rows.mapInArrow(lean(_take_out(kept, text in carry, width, whole_characters)), ", ".join(fields + added)).select(
         *carry, "n_bytes", "spans", "kept")

@@ -92,3 +92,33 @@ def test_names_with_dots_pass_in_one_block_and_in_many(spark):
     for block in (8 << 20, 100):
         out = decontaminate(docs, "text", table, block_bytes=block).collect()
         assert len(out) == len(rows) and {r["a.b"] for r in out} == {3}
+
+
+def test_memory_of_a_pass_is_bounded_by_shards():
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from tabrix.llm import decontaminate as D
+
+    words = [f"w{i}" for i in range(500)]
+    text = " ".join(words[i * i % 500] for i in range(1000))
+    batch = pa.RecordBatch.from_arrays([pa.array([text] * 2500 + [None])], names=["text"])
+    run = D._pass(SimpleNamespace(value=[("a", " ".join(words[:40])), ("b", text[:200])]), "text", 10, [], False)
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    print(batch.nbytes, peak)
+    assert rows == 2501 and peak < 30 * (4 << 20) + 2 * batch.nbytes
+
+
+def test_memory_goes_back_when_a_task_ends(monkeypatch):
+    from tabrix.llm import common
+
+    gone = []
+    monkeypatch.setattr(common, "give_back", lambda: gone.append(1))
+    assert list(common.lean(lambda batches: (b + 1 for b in batches))([1, 2])) == [2, 3] and gone == [1]
